@@ -1,7 +1,7 @@
 """Market data derived from whole driver tables; ``SQL`` holds the same for the oracle.
 
 Line items become bars (one ticker per brand), suppliers splits, events option bars and
-parts ticker records.
+intraday stock bars, and parts ticker records.
 """
 
 from __future__ import annotations
@@ -97,6 +97,21 @@ class Fixtures:
             (e % 50).alias("transactions"),
         )
 
+    def ticks_raw(self) -> DataFrame:
+        """Intraday stock bars as landed, one per event, on few dates (one file each)."""
+        e = F.col("event_id")
+        millis = F.call_function("div", F.unix_micros(F.col("ts").cast("timestamp")), F.lit(1000))
+        return self.table("events").select(
+            self._letter((F.col("user_id") % 25).cast("int")).alias("ticker"),
+            (e % 500).alias("volume"),
+            F.col("value").alias("open"),
+            F.col("value").alias("close"),
+            (F.col("value") * 1.02).alias("high"),
+            (F.col("value") * 0.99).alias("low"),
+            (millis * 1_000_000).alias("window_start"),
+            (e % 50).alias("transactions"),
+        )
+
     def tickers_raw(self) -> DataFrame:
         """Ticker records as landed, some with a bad symbol, no activity or no valid time."""
         k = F.col("p_partkey")
@@ -183,6 +198,10 @@ select case when event_id%23=0 then '' else 'O:' end||'TK'||chr((65+user_id%25):
   event_id%500 as volume, value as open, value as close, value*1.02 as high, value*0.99 as low,
   epoch_us(date_trunc('day',ts))*1000+14400000000000 as window_start, event_id%50 as transactions
 from events""",
+    "ticks": """
+select 'TK'||chr((65+user_id%25)::int) as ticker, date_trunc('millisecond',ts) as window_start,
+  event_id%500 as volume, value as open, value as close, value*1.02 as high, value*0.99 as low,
+  event_id%50 as transactions from events""",
     "options": """
 select replace(ticker,'O:','') as ticker,
   regexp_replace(upper(substr(ticker,3,length(ticker)-17)),'[^A-Z]','','g') as underlying_symbol,

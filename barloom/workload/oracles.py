@@ -13,6 +13,10 @@ def _add(name: str, query: str, *inputs: str) -> None:
     ORACLES[name] = with_inputs(query, *inputs)
 
 
+def _r2(x: str, name: str | None = None) -> str:
+    return f"round({x}+1e-5,2) as {name or x}"
+
+
 def _r4(x: str, name: str | None = None) -> str:
     return f"round({x}+1e-7,4) as {name or x}"
 
@@ -106,7 +110,7 @@ _add(
 )
 _add(
     "atr_wilder",
-    f"""select ticker, {_WHEN}, {_r4('lag(atr) over (partition by ticker order by window_start)', 'atr')} from (
+    f"""select ticker, {_WHEN}, {_r2('lag(atr) over (partition by ticker order by window_start)', 'atr')} from (
   select *, case when pos>=14 then pow(13::double/14,pos)*sum(y) over (partition by ticker order by pos) end as atr from (
     select *, case when pos<1 then 0 else tr/14*pow(14::double/13,greatest(pos,14)) end as y from (
       select ticker, window_start, row_number() over w-1 as pos,
@@ -309,12 +313,12 @@ _add(
     "splits",
 )
 
-_STORED = f"select ticker, {_WHEN}, volume, {_STORED4}, transactions from bars"
-_add("csv_ingest", _STORED, "bars")
-_add("stream_ingest", _STORED, "bars")
+_STORED = f"select ticker, {_WHEN}, volume, {_STORED4}, transactions from"
+_add("csv_ingest", f"{_STORED} ticks", "ticks")
+_add("stream_ingest", f"{_STORED} ticks", "ticks")
 _add(
     "scan_ticker_range",
-    f"{_STORED} where ticker='TKB' and window_start::date between date '1997-03-01' and date '1999-06-30'",
+    f"{_STORED} bars where ticker='TKB' and window_start::date between date '1997-03-01' and date '1999-06-30'",
     "bars",
 )
 _add(
@@ -332,27 +336,25 @@ where not (regexp_matches(ticker,'^O:.+[0-9]{6}[CP][0-9]{8}$')
 )
 _add(
     "rows_per_file",
-    f"select {_day('window_start', 'date')}, count(*) as row_count from bars group by 1",
-    "bars",
+    f"select {_day('window_start', 'date')}, count(*) as row_count from ticks group by 1",
+    "ticks",
 )
 _add(
     "available_dates",
-    f"""select distinct {_day('l_shipdate', 'date')} from lineitem
-where l_shipdate::date between date '1997-01-01' and date '1999-12-31'""",
+    f"""select distinct {_day('ts', 'date')} from events
+where ts::date between date '2024-01-08' and date '2024-01-21'""",
 )
 _add(
     "file_date_range",
-    f"select {_day('min(l_shipdate)', 'first_date')}, {_day('max(l_shipdate)', 'last_date')} from lineitem",
+    f"select {_day('min(ts)', 'first_date')}, {_day('max(ts)', 'last_date')} from events",
 )
 _add(
     "table_stats",
     f"""select table_name, row_count, {_stamp('min_date')}, {_stamp('max_date')} from (
-  select 'stocks_raw' as table_name, count(*) as row_count, min(window_start) as min_date, max(window_start) as max_date from bars
-  union all select 'stocks_adjusted', count(*), min(window_start), max(window_start) from bars
-  union all select 'stocks_technical', count(*), min(window_start), max(window_start) from bars
-  union all select 'splits', count(*), min(execution_date)::timestamp, max(execution_date)::timestamp from splits
-    where execution_date>=(select min(window_start)::date from bars)
+  select 'stocks_raw' as table_name, count(*) as row_count, min(window_start) as min_date, max(window_start) as max_date from ticks
+  union all select t, count(*), min(window_start), max(window_start)
+    from (select distinct ticker, window_start from ticks), unnest(['stocks_adjusted','stocks_technical']) as u(t) group by t
   union all select 'options', count(*), min(window_start), max(window_start) from options
   union all select 'tickers', count(*), null, null from tickers)""",
-    "bars", "splits", "options", "tickers",
+    "ticks", "options", "tickers",
 )
