@@ -24,14 +24,15 @@ TABLE_OF = {"stocks": "stocks_raw", "options": "options"}
 def landed_rows(files: DataFrame, kind: str) -> DataFrame:
     """Typed rows of landed files with ``reject``: null, ``row`` or (options) ``symbol``.
 
-    ``row`` marks lines that do not parse and negative counts, which the tables' unsigned
-    types rule out.
+    ``row`` marks lines that do not parse or lack ticker or time, and negative counts,
+    which the tables' unsigned types rule out.
     """
-    bad_row = F.col(CORRUPT).isNotNull() | (F.col("volume") < 0) | (F.col("transactions") < 0)
+    negative = (F.col("volume") < 0) | (F.col("transactions") < 0)
+    bad_row = ~flatfiles.readable_row() | F.coalesce(negative, F.lit(False))
     rows = typed_bars(files).withColumn(
         SOURCE, F.date_format(file_date(F.col("path")), "yyyy-MM-dd")
     )
-    reject = F.when(F.coalesce(bad_row, F.lit(False)), "row")
+    reject = F.when(bad_row, "row")
     if kind == "options":
         rows = parse_option_tickers(rows)
         reject = reject.when(~F.col("parse_ok"), "symbol")

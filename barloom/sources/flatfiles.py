@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,16 @@ from barloom.functions.times import file_date
 from barloom.schemas import BARS_CSV, CORRUPT, LANDED_CSV
 
 PATTERN = "*.csv.gz"
+CSV_OPTIONS = {
+    "header": True,
+    "enforceSchema": False,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    # A line counts as corrupt whichever columns a query reads.
+    "columnPruning": False,
+    "recursiveFileLookup": True,
+    "pathGlobFilter": PATTERN,
+}
 FILES_SCHEMA = "path string, modification_time timestamp, length long"
 
 
@@ -81,17 +91,19 @@ def read_paths(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """
     return (
         spark.read.schema(LANDED_CSV)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", PATTERN)
+        .options(**CSV_OPTIONS)
         .csv(paths)
         .withColumn("path", F.col("_metadata.file_path"))
     )
 
 
+def readable_row() -> Column:
+    """Lines that parse and say which bar they are of."""
+    return (
+        F.col(CORRUPT).isNull() & F.col("ticker").isNotNull() & F.col("window_start").isNotNull()
+    )
+
+
 def read_bars(
     spark: SparkSession, root: str, dates: list[dt.date] | None = None
 ) -> DataFrame:
@@ -107,7 +119,7 @@ def read_bars(
         if not paths:
             return spark.createDataFrame([], BARS_CSV)
         rows = read_paths(spark, paths)
-    return rows.filter(F.col(CORRUPT).isNull()).select(*BARS_CSV.names)
+    return rows.filter(readable_row()).select(*BARS_CSV.names)
 
 
 def rows_per_file(spark: SparkSession, root: str) -> DataFrame:

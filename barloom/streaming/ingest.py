@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.jobs.ingest import TABLE_OF, landed_rows
-from barloom.schemas import CORRUPT, LANDED_CSV
-from barloom.sources.flatfiles import PATTERN
+from barloom.schemas import LANDED_CSV
+from barloom.sources.flatfiles import CSV_OPTIONS
 from barloom.sources.warehouse import SOURCE, Warehouse
 
 
@@ -18,11 +18,7 @@ def stream_bars(
     """Landed bars as a stream; a trigger reads at most so many files."""
     reader = (
         spark.readStream.schema(LANDED_CSV)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", PATTERN)
+        .options(**CSV_OPTIONS)
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
