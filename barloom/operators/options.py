@@ -5,20 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.symbols import parse_option, strip_prefix
-
-CONTRACT_FIELDS = ("underlying_symbol", "expiration_date", "option_type", "strike_price")
-
+from barloom.functions.symbols import (
+    option_root,
+    option_tail,
+    strip_prefix,
+    tail_expiry,
+    tail_strike,
+    tail_type,
+)
 
 def parse_option_tickers(df: DataFrame, column: str = "ticker") -> DataFrame:
-    """Add the contract fields and ``parse_ok``; the symbol itself stays as it is."""
-    return (
-        df.withColumn("_contract", parse_option(F.col(column)))
-        .select(
-            *df.columns,
-            *[F.col(f"_contract.{name}").alias(name) for name in CONTRACT_FIELDS],
-            F.col("_contract").isNotNull().alias("parse_ok"),
-        )
+    """Add the contract fields and ``parse_ok``; the symbol itself stays as it is.
+
+    In steps, so that each regular expression runs once per row however many of the new
+    columns depend on it.
+    """
+    symbol = F.col(column)
+    cut = df.withColumns({"_tail": option_tail(symbol), "_root": option_root(symbol)})
+    dated = cut.withColumn("_expiry", tail_expiry(F.col("_tail")))
+    ok = F.col("_expiry").isNotNull() & F.col("_root").isNotNull()
+    return dated.select(
+        *df.columns,
+        F.when(ok, F.col("_root")).alias("underlying_symbol"),
+        F.when(ok, F.col("_expiry")).alias("expiration_date"),
+        F.when(ok, tail_type(F.col("_tail"))).alias("option_type"),
+        F.when(ok, tail_strike(F.col("_tail"))).alias("strike_price"),
+        ok.alias("parse_ok"),
     )
 
 

@@ -102,45 +102,35 @@ def _indicators(
     )
 
     in_block = W.partitionBy(*by, "block").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    running = {
-        "c_sum": F.sum("c"),
-        "c_cnt": F.count("c"),
-        "v_sum": F.sum("v"),
-        "v_cnt": F.count("v"),
-        "tr_sum": F.sum("tr_scaled"),
-    }
+    sums = {"c_sum": "c", "v_sum": "v", "tr_sum": "tr_scaled"}
     summed = scaled.withColumns(
-        {name: F.coalesce(agg.over(in_block), F.lit(0)) for name, agg in running.items()}
+        {name: F.coalesce(F.sum(x).over(in_block), F.lit(0)) for name, x in sums.items()}
     )
 
-    # Totals of the block before: a range frame over block numbers, same partitioning and
-    # sort order as above.
+    # The last sums of the block before, by a range frame over block numbers. It needs no
+    # sort beyond the one above, which stays below it because it reads its results.
     block_before = W.partitionBy(*by).orderBy("block").rangeBetween(-1, -1)
-    totals = {
-        "c_carry": F.sum("c"),
-        "cn_carry": F.count("c"),
-        "v_carry": F.sum("v"),
-        "vn_carry": F.count("v"),
-        "tr_carry": F.sum("tr_scaled"),
-    }
     carried = summed.withColumns(
-        {name: F.coalesce(agg.over(block_before), F.lit(0)) for name, agg in totals.items()}
+        {
+            f"{name}_before": F.coalesce(F.max_by(name, "pos").over(block_before), F.lit(0))
+            for name in sums
+        }
     )
 
     rows = W.partitionBy(*by).orderBy("block", "pos")
+    so_far = rows.rowsBetween(W.unboundedPreceding, 0)
 
-    def over_last(n: int, running_sum: str, carry: str) -> Column:
-        back = F.coalesce(F.lag(running_sum, n).over(rows), F.lit(0))
-        from_before = F.when(F.col("in_block") < n, F.col(carry)).otherwise(F.lit(0))
-        return F.col(running_sum) + from_before - back
-
-    def average(n: int, name: str) -> Column:
-        full = over_last(n, f"{name}_cnt", f"{name}n_carry") == n
-        return F.when(full, over_last(n, f"{name}_sum", f"{name}_carry") / F.lit(float(n)))
+    def average(n: int, x: str) -> Column:
+        total = f"{x}_sum"
+        from_before = F.when(F.col("in_block") < n, F.col(f"{total}_before")).otherwise(F.lit(0))
+        in_window = F.col(total) + from_before - F.lag(total, n).over(rows)
+        last_gap = F.max(F.when((F.col("pos") > 0) & F.col(x).isNull(), F.col("pos"))).over(so_far)
+        full = (F.col("pos") >= n) & (F.coalesce(last_gap, F.lit(0)) <= F.col("pos") - n)
+        return F.when(full, in_window / F.lit(float(n)))
 
     decay = F.pow(F.lit(1 / growth), F.col("in_block"))
-    atr = decay * (F.col("tr_sum") + F.col("tr_carry") * growth**-BLOCK)
-    broken = F.max("flag").over(rows.rowsBetween(W.unboundedPreceding, 0))
+    atr = decay * (F.col("tr_sum") + F.col("tr_sum_before") * growth**-BLOCK)
+    broken = F.max("flag").over(so_far)
     result = carried.select(
         *by,
         "window_start",

@@ -1,13 +1,15 @@
 """Data-quality rules as column expressions: all rows are checked in one narrow pass.
 
-A rule is a struct (rule, message) that is null where the row passes. ``rule`` is a
-stable code for counting, ``message`` the text for people.
+A rule has a condition, a stable code for counting and a message for people. Messages are
+built for failing rows only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,56 +17,84 @@ from pyspark.sql import functions as F
 from barloom.functions.symbols import is_stock_symbol
 from barloom.schemas import PRICES
 
+ERRORS_TYPE = "array<struct<rule:string,message:string>>"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``broken`` is true for a failing row; null counts as passing."""
+
+    broken: Column
+    code: str
+    message: Column
+
+    def error(self) -> Column:
+        return F.struct(F.lit(self.code).alias("rule"), self.message.alias("message"))
+
 
 @dataclass(frozen=True)
 class Rules:
     """``required`` rules come first; where one of them fails ``further`` is not looked at."""
 
-    required: tuple[Column, ...]
-    further: tuple[Column, ...]
+    required: tuple[Rule, ...]
+    further: tuple[Rule, ...]
 
+    def guarded(self) -> list[tuple[Column, Rule]]:
+        """All rules with the condition under which they fail for a row."""
+        if not self.required:
+            return [(r.broken, r) for r in self.further]
+        complete = ~_any(self.required)
+        return [(r.broken, r) for r in self.required] + [
+            (complete & r.broken, r) for r in self.further
+        ]
 
-def _rule(broken: Column, code: str, *message: Column | str) -> Column:
-    text = F.concat(
-        *[F.lit(m) if isinstance(m, str) else F.coalesce(m.cast("string"), F.lit("None")) for m in message]
-    )
-    return F.when(broken, F.struct(F.lit(code).alias("rule"), text.alias("message")))
+
+def _any(rules: tuple[Rule, ...]) -> Column:
+    return F.coalesce(reduce(or_, [r.broken for r in rules]), F.lit(False))
+
+
+def _rule(broken: Column, code: str, *message: Column | str) -> Rule:
+    text = [
+        F.lit(m) if isinstance(m, str) else F.coalesce(m.cast("string"), F.lit("None"))
+        for m in message
+    ]
+    return Rule(broken, code, F.concat(*text))
 
 
 def _number(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
-def required(name: str) -> Column:
+def required(name: str) -> Rule:
     return _rule(F.col(name).isNull(), f"missing {name}", f"Missing required field: {name}")
 
 
-def non_empty(name: str) -> Column:
+def non_empty(name: str) -> Rule:
     return _rule(F.col(name).cast("string") == "", f"empty {name}", f"Invalid {name}: ", F.col(name))
 
 
-def numeric(name: str) -> Column:
+def numeric(name: str) -> Rule:
     bad = F.col(name).isNotNull() & _number(name).isNull()
     return _rule(bad, f"{name} not numeric", f"{name} must be numeric, got ", F.col(name))
 
 
-def positive(name: str) -> Column:
+def positive(name: str) -> Rule:
     return _rule(
         _number(name) <= 0, f"{name} not positive", f"{name} must be positive, got ", _number(name)
     )
 
 
-def non_negative(name: str) -> Column:
+def non_negative(name: str) -> Rule:
     return _rule(
         _number(name) < 0, f"{name} negative", f"{name} must be non-negative, got ", _number(name)
     )
 
 
-def not_nan(name: str) -> Column:
+def not_nan(name: str) -> Rule:
     return _rule(F.isnan(_number(name)), f"{name} is NaN", f"{name} must be a number, got NaN")
 
 
-def ordered(greater: str, smaller: str, greater_first: bool = True) -> Column:
+def ordered(greater: str, smaller: str, greater_first: bool = True) -> Rule:
     """``greater`` >= ``smaller``, checked if all four prices are numbers; NaN passes."""
     g, s = _number(greater), _number(smaller)
     comparable = F.lit(True)
@@ -82,7 +112,7 @@ def ordered(greater: str, smaller: str, greater_first: bool = True) -> Column:
     )
 
 
-def price_order() -> tuple[Column, ...]:
+def price_order() -> tuple[Rule, ...]:
     return (
         ordered("high", "low"),
         ordered("high", "open"),
@@ -92,7 +122,7 @@ def price_order() -> tuple[Column, ...]:
     )
 
 
-def one_of(name: str, values: Sequence[str]) -> Column:
+def one_of(name: str, values: Sequence[str]) -> Rule:
     quoted = " or ".join(f"'{v}'" for v in values)
     return _rule(
         ~F.col(name).isin(*values), f"{name} unknown", f"{name} must be {quoted}, got ", F.col(name)
@@ -142,18 +172,19 @@ def ticker_rules(column: str = "ticker") -> Rules:
     )
 
 
-def _failed(rules: tuple[Column, ...]) -> Column:
-    return F.filter(F.array(*rules), lambda r: r.isNotNull())
+def validate(df: DataFrame, rules: Rules, column: str = "errors") -> DataFrame:
+    """Add the array of failed rules; it is empty for a valid row.
 
+    Conditions are tested in generated code; only failing rows reach the array functions.
+    """
 
-def validate(df: DataFrame, rules: Rules, column: str = "errors") -> DataFrame:
-    """Add the array of failed rules; it is empty for a valid row."""
-    if not rules.required:
-        return df.withColumn(column, _failed(rules.further))
-    missing = _failed(rules.required)
-    return df.withColumn(
-        column, F.when(F.size(missing) > 0, missing).otherwise(_failed(rules.further))
-    )
+    def failed(which: tuple[Rule, ...]) -> Column:
+        return F.array_compact(F.array(*[F.when(r.broken, r.error()) for r in which]))
+
+    errors = F.when(_any(rules.further), failed(rules.further))
+    if rules.required:
+        errors = F.when(_any(rules.required), failed(rules.required)).otherwise(errors)
+    return df.withColumn(column, F.coalesce(errors, F.array().cast(ERRORS_TYPE)))
 
 
 def violations(df: DataFrame, rules: Rules) -> DataFrame:
@@ -164,5 +195,11 @@ def violations(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def violation_summary(df: DataFrame, rules: Rules) -> DataFrame:
-    """Failed rows per rule."""
-    return violations(df, rules).groupBy("rule").agg(F.count("*").alias("row_count"))
+    """Failed rows per rule, counted without making a row per failure."""
+    guarded = rules.guarded()
+    counts = df.agg(*[F.count_if(broken).alias(f"c{i}") for i, (broken, _) in enumerate(guarded)])
+    pairs = [
+        F.struct(F.lit(r.code).alias("rule"), F.col(f"c{i}").alias("row_count"))
+        for i, (_, r) in enumerate(guarded)
+    ]
+    return counts.select(F.inline(F.array(*pairs))).filter("row_count > 0")
