@@ -14,7 +14,7 @@ from barloom.jobs.rebuild import (
     sync_splits,
     sync_tickers,
 )
-from barloom.operators.calendar import ready_dates, trading_day_gaps
+from barloom.operators.calendar import nyse_holidays, ready_dates, trading_day_gaps
 from barloom.operators.checks import CheckFailure, price_checks, summarize_checks
 from barloom.sources.flatfiles import available_dates
 from barloom.sources.warehouse import Warehouse
@@ -29,11 +29,16 @@ class Feeds:
     splits: DataFrame
     tickers: DataFrame
     reference_prices: DataFrame
-    holidays: DataFrame
+    holidays: DataFrame | None = None
 
 
-def fill_gaps(wh: Warehouse, root: str, holidays: DataFrame) -> dict[str, int]:
-    """Load trading days that are missing between the first and last loaded date."""
+def fill_gaps(wh: Warehouse, root: str, holidays: DataFrame | None = None) -> dict[str, int]:
+    """Load trading days that are missing between the first and last loaded date.
+
+    Without ``holidays`` (a frame with ``date``) the exchange's rules tell them.
+    """
+    if holidays is None:
+        holidays = nyse_holidays(wh.spark, 1990, dt.date.today().year)
     gaps = [
         r.date
         for r in trading_day_gaps(wh.loaded_dates("stocks_raw"), holidays).toLocalIterator()
@@ -62,10 +67,12 @@ def verify(
     as ``dates_checked`` 0.
     """
     end = as_of or dt.date.today()
-    checks = price_checks(
-        wh.scan("stocks_adjusted"), wh.scan("splits"), reference, n, seed,
-        end - dt.timedelta(days=days_back), end,
+    start = end - dt.timedelta(days=days_back)
+    # The dates around the splits: a scan of those months only.
+    adjusted = wh.scan(
+        "stocks_adjusted", start=start - dt.timedelta(days=30), end=end + dt.timedelta(days=1)
     )
+    checks = price_checks(adjusted, wh.scan("splits"), reference, n, seed, start, end)
     total = summarize_checks(checks).filter("ticker is null").first().asDict()
     total.pop("ticker")
     if total["failed"]:

@@ -7,9 +7,11 @@ job leaves the old data in place. One writer per table at a time.
 
 Bars as landed are partitioned by ``trade_date`` and by ``source`` (the file's date), so
 that writing a source again replaces just its own rows. Derived tables are partitioned by
-``trade_month``; their files are ranges of (month, ticker, time), so a hot ticker spreads
-over files and a single ticker is found by row-group statistics. Partitioning by ticker
-would make one small file per ticker and load.
+``trade_month``. Rows reach the writer by one rebalancing shuffle on the partition columns:
+large days and months are cut into several files, small ones share a task, and the input
+is computed once (range partitioning would run it a second time to sample it). Files are
+sorted by their keys, so a single ticker is found by row-group, dictionary and page
+statistics; partitioning by ticker would make one small file per ticker and load.
 """
 
 from __future__ import annotations
@@ -194,10 +196,8 @@ def _laid_out(df: DataFrame, spec: Table) -> DataFrame:
     if spec.grain == "day":
         source = F.col(SOURCE) if SOURCE in df.columns else F.lit(DIRECT)
         landed = df.withColumn(SOURCE, source).withColumn("trade_date", date)
-        # Spread by day; the adaptive planner cuts large days and joins small ones.
-        laid = conform(landed, spec.stored_schema).hint("rebalance", "trade_date", SOURCE)
-        return laid.sortWithinPartitions("trade_date", SOURCE, *spec.sort_keys)
-    rows = rows.withColumn("trade_month", F.trunc(date, "month"))
-    return rows.repartitionByRange("trade_month", *spec.sort_keys).sortWithinPartitions(
-        "trade_month", *spec.sort_keys
-    )
+        rows = conform(landed, spec.stored_schema)
+    else:
+        rows = rows.withColumn("trade_month", F.trunc(date, "month"))
+    columns = spec.partition_columns
+    return rows.hint("rebalance", *columns).sortWithinPartitions(*columns, *spec.sort_keys)

@@ -32,6 +32,17 @@ def test_trading_days_and_gaps(spark):
     assert listed(calendar.trading_day_gaps(dates(spark, []), holidays)) == []
 
 
+def test_exchange_holidays(spark):
+    found = calendar.nyse_holidays(spark, 1990, 2025)
+    of = lambda year: sorted(d for d in listed(found) if d.year == year)
+    days = lambda *pairs, year: [D(year, m, d) for m, d in pairs]
+    assert of(2024) == days((1, 1), (1, 15), (2, 19), (3, 29), (5, 27), (6, 19), (7, 4), (9, 2), (11, 28), (12, 25), year=2024)
+    assert of(2021) == days((1, 1), (1, 18), (2, 15), (4, 2), (5, 31), (7, 5), (9, 6), (11, 25), (12, 24), year=2021)
+    counts = {1997: 253, 2001: 248, 2008: 253, 2012: 250, 2018: 251, 2021: 252, 2022: 251, 2023: 250, 2024: 252}
+    for year, n in counts.items():
+        assert calendar.trading_days(spark, D(year, 1, 1), D(year, 12, 31), found).count() == n, year
+
+
 def test_missing_and_ready(spark):
     available = dates(spark, [D(2024, 1, 4), D(2024, 1, 2), D(2024, 1, 3), D(2024, 1, 2)])
     assert listed(calendar.missing_dates(available, dates(spark, [D(2024, 1, 3)]))) == [D(2024, 1, 2), D(2024, 1, 4)]

@@ -230,6 +230,7 @@ def test_gap_filling(spark, stocks, wh):
     holidays = spark.createDataFrame([(DAYS[2],)], "date date")
     assert update.fill_gaps(wh, str(stocks), holidays) == {"gaps_found": 2, "dates_filled": 2, "raw_rows_added": 6}
     assert update.fill_gaps(wh, str(stocks), holidays)["gaps_found"] == 0
+    assert update.fill_gaps(wh, str(stocks)) == {"gaps_found": 1, "dates_filled": 1, "raw_rows_added": 3}
 
 
 def test_one_ticker_jobs(spark, stocks, options, wh):
