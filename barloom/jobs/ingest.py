@@ -14,6 +14,7 @@ from barloom.functions.times import file_date
 from barloom.operators.bars import typed_bars
 from barloom.operators.calendar import missing_dates
 from barloom.operators.options import parse_option_tickers
+from barloom.plans.filters import keep_where
 from barloom.schemas import CORRUPT
 from barloom.sources import flatfiles
 from barloom.sources.warehouse import SOURCE, Warehouse
@@ -46,7 +47,7 @@ def rejected_rows(
     """The rows of landed files that a load leaves out, as landed, with the reason."""
     files = _files(wh, root, dates)
     rows = landed_rows(flatfiles.read_paths(wh.spark, files), kind)
-    return rows.filter("reject is not null").select("path", "ticker", CORRUPT, "reject")
+    return keep_where(rows, F.col("reject").isNotNull()).select("path", "ticker", CORRUPT, "reject")
 
 
 def _files(wh: Warehouse, root: str, dates: list[dt.date] | None) -> list[str]:
@@ -64,7 +65,7 @@ def _write(wh: Warehouse, kind: str, files: list[str]) -> dict[str, int]:
         F.count_if(F.col("reject") == "symbol").alias("parse_errors"),
         F.count_if(F.col("reject") == "row").alias("bad_rows"),
     )
-    wh.write(rows.filter("reject is null"), TABLE_OF[kind], "replace")
+    wh.write(keep_where(rows, F.col("reject").isNull()), TABLE_OF[kind], "replace")
     return dict(seen.get)
 
 

@@ -13,6 +13,7 @@ from barloom.functions.symbols import (
     tail_strike,
     tail_type,
 )
+from barloom.plans.filters import keep_where
 
 def parse_option_tickers(df: DataFrame, column: str = "ticker") -> DataFrame:
     """Add the contract fields and ``parse_ok``; the symbol itself stays as it is.
@@ -36,17 +37,13 @@ def parse_option_tickers(df: DataFrame, column: str = "ticker") -> DataFrame:
 
 def parsed_options(df: DataFrame, column: str = "ticker") -> DataFrame:
     """Option bars with contract fields and without the symbol prefix; bad symbols left out."""
-    return (
-        parse_option_tickers(df, column)
-        .filter("parse_ok")
-        .drop("parse_ok")
-        .withColumn(column, strip_prefix(F.col(column)))
-    )
+    parsed = keep_where(parse_option_tickers(df, column), F.col("parse_ok"))
+    return parsed.drop("parse_ok").withColumn(column, strip_prefix(F.col(column)))
 
 
 def option_rejects(df: DataFrame, column: str = "ticker") -> DataFrame:
     """The rows that :func:`parsed_options` leaves out."""
-    return parse_option_tickers(df, column).filter(~F.col("parse_ok")).select(*df.columns)
+    return keep_where(parse_option_tickers(df, column), ~F.col("parse_ok")).select(*df.columns)
 
 
 def option_volume_top(

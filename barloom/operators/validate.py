@@ -172,8 +172,8 @@ def ticker_rules(column: str = "ticker") -> Rules:
     )
 
 
-def validate(df: DataFrame, rules: Rules, column: str = "errors") -> DataFrame:
-    """Add the array of failed rules; it is empty for a valid row.
+def _errors(rules: Rules) -> Column:
+    """The failed rules of a row, null if there are none.
 
     Conditions are tested in generated code; only failing rows reach the array functions.
     """
@@ -184,14 +184,17 @@ def validate(df: DataFrame, rules: Rules, column: str = "errors") -> DataFrame:
     errors = F.when(_any(rules.further), failed(rules.further))
     if rules.required:
         errors = F.when(_any(rules.required), failed(rules.required)).otherwise(errors)
-    return df.withColumn(column, F.coalesce(errors, F.array().cast(ERRORS_TYPE)))
+    return errors
+
+
+def validate(df: DataFrame, rules: Rules, column: str = "errors") -> DataFrame:
+    """Add the array of failed rules; it is empty for a valid row."""
+    return df.withColumn(column, F.coalesce(_errors(rules), F.array().cast(ERRORS_TYPE)))
 
 
 def violations(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per failed rule: the input columns, ``rule`` and ``message``."""
-    return validate(df, rules, "_errors").select(
-        *df.columns, F.inline("_errors").alias("rule", "message")
-    )
+    return df.select(*df.columns, F.inline(_errors(rules)).alias("rule", "message"))
 
 
 def violation_summary(df: DataFrame, rules: Rules) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.jobs.ingest import TABLE_OF, landed_rows
+from barloom.plans.filters import keep_where
 from barloom.schemas import LANDED_CSV
 from barloom.sources.flatfiles import CSV_OPTIONS
 from barloom.sources.warehouse import SOURCE, Warehouse
@@ -41,9 +42,8 @@ def ingest_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         source = F.concat(F.coalesce(F.col(SOURCE), F.lit("undated")), F.lit(f"_b{batch_id}"))
-        wh.write(
-            batch.filter("reject is null").withColumn(SOURCE, source), TABLE_OF[kind], "replace"
-        )
+        good = keep_where(batch, F.col("reject").isNull())
+        wh.write(good.withColumn(SOURCE, source), TABLE_OF[kind], "replace")
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -20,7 +20,7 @@ from barloom.jobs.ingest import ingest_missing, rejected_rows
 from barloom.operators import bars as bar_ops
 from barloom.operators import calendar, checks, options, splits, technical, tickers, validate
 from barloom.schemas import PRICES
-from barloom.session import work_dir
+from barloom.session import materialize, work_dir
 from barloom.sources import flatfiles
 from barloom.sources.warehouse import Warehouse
 from barloom.streaming.ingest import ingest_stream
@@ -73,6 +73,11 @@ def _adjusted(fx: Fixtures) -> DataFrame:
     return splits.adjust_prices(_bars(fx), _splits(fx))
 
 
+def _adjusted_table(fx: Fixtures) -> DataFrame:
+    """Adjusted bars as a written table, for queries that read them more than once."""
+    return materialize(_adjusted(fx), "adjusted")
+
+
 def _options(fx: Fixtures) -> DataFrame:
     return options.parsed_options(bar_ops.typed_bars(fx.options_raw()))
 
@@ -167,21 +172,21 @@ def replace_ticker_splits(fx: Fixtures) -> DataFrame:
 
 @query
 def sma_lagged(fx: Fixtures) -> DataFrame:
-    return technical.technical_indicators(_adjusted(fx)).select(
+    return technical.technical_indicators(_adjusted_table(fx)).select(
         "ticker", stamp("window_start"), r4("sma_20"), r4("sma_50"), r4("sma_200")
     )
 
 
 @query
 def volume_sma(fx: Fixtures) -> DataFrame:
-    return technical.technical_indicators(_adjusted(fx)).select(
+    return technical.technical_indicators(_adjusted_table(fx)).select(
         "ticker", stamp("window_start"), r4("volume_sma_20")
     )
 
 
 @query
 def atr_wilder(fx: Fixtures) -> DataFrame:
-    return technical.technical_indicators(_adjusted(fx)).select(
+    return technical.technical_indicators(_adjusted_table(fx)).select(
         "ticker", stamp("window_start"), r2("atr")
     )
 
@@ -358,7 +363,7 @@ def epoch_times(fx: Fixtures) -> DataFrame:
 
 
 def _checks(fx: Fixtures, n: int | None = None) -> DataFrame:
-    adjusted = _adjusted(fx)
+    adjusted = _adjusted_table(fx)
     return checks.price_checks(adjusted, _splits(fx), fx.reference_prices(adjusted), n, seed=7)
 
 
