@@ -95,3 +95,8 @@ def test_scan_prunes_partitions_and_pushes_filters(spark, daily, tmp_path):
     months = {p.name for p in tmp_path.glob("stocks_adjusted/v00001/trade_month=*")}
     assert "trade_month=1997-03-01" in months
     assert len(list(tmp_path.glob("stocks_adjusted/v00001/trade_month=*/*.parquet"))) < 2 * len(months)
+
+
+def test_dropping_bad_symbols_does_not_parse_twice(fx):
+    text = plan(options.parsed_options(typed_bars(fx.options_raw())))
+    assert text.count("RLIKE") == 1 and "Filter" not in text.replace("Filters", "")
