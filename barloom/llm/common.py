@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,6 +20,23 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 STEP_CHARS = 1 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, as ``--py-files`` would; once for an application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = f"{tempfile.mkdtemp(prefix='barloom-')}/{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def by_text(
     df: DataFrame,
     text_col: str,
@@ -29,6 +49,7 @@ def by_text(
     ``work`` gets at most about ``STEP_CHARS`` characters at once (a longer text alone). An output
     column takes the place of a kept column of the same name.
     """
+    ship(df.sparkSession)
     new = {f.name for f in fields}
     keep = [c for c in dict.fromkeys(keep) if c not in new]
     held = "__text"

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.bpe import CACHE, from_json
-from barloom.llm.common import steps
+from barloom.llm.common import ship, steps
 from barloom.llm.pretokenize import slices
 from barloom.session import materialize
 
@@ -154,6 +154,7 @@ def document_ids(texts: list[str], path: str) -> list[bytes]:
 def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, closing_id: int, id_col: str, text_col: str) -> DataFrame:
     """Full windows and the rest of every document: row_id (one per input row), the id, start,
     length, ids_crc32, doc_tokens."""
+    ship(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("__text"))
     kind = source.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind)] + T._parse_datatype_string(PIECE).fields)
