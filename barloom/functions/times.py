@@ -25,9 +25,19 @@ def ms_to_ts(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 
 
+# A whole date, perhaps a time to the minute or finer, perhaps an offset.
+ISO_SHAPE = (
+    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?\z"
+)
+
+
 def iso_to_ts(text: Column) -> Column:
-    """ISO-8601 text to a timestamp, null where it cannot be read."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 text to a timestamp, null where it cannot be read.
+
+    The shape is checked first: Spark completes a time without a date by today's.
+    """
+    return F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(text))
 
 
 def file_date(path: Column) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.times import ns_to_ts
 from barloom.plans.sizing import broadcast_if_small
+from barloom.session import materialize
 
 
 def typed_bars(df: DataFrame) -> DataFrame:
@@ -19,12 +21,23 @@ def typed_bars(df: DataFrame) -> DataFrame:
 def dedupe_bars(df: DataFrame, keys: tuple[str, ...] = ("ticker", "window_start")) -> DataFrame:
     """One bar per key; of several the smallest in column order, so that reruns agree.
 
-    An aggregate rather than ``row_number``: copies are merged before the shuffle, so any
-    number of copies of a key stays harmless.
+    Keys that occur more than once are found by a hash aggregate over the keys alone; only
+    their rows are compared. Picking the smallest row of every key would sort all bars
+    twice, and nearly all of them are single. A key's copies are merged before the shuffle,
+    so any number of them stays harmless. Null is a key value like any other.
     """
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("bar"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"bar.{c}") for c in df.columns])
+    names = {k: f"_dup_{k}" for k in keys}
+    several = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1")
+    several = materialize(several.select(*[F.col(k).alias(n) for k, n in names.items()]), "copies")
+    if several.isEmpty():
+        return df
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    several = broadcast_if_small(several)
+    copies = df.join(several, same, "left_semi")
+    picked = copies.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("bar"))
+    picked = picked.select(*[F.col(c) if c in keys else F.col(f"bar.{c}") for c in df.columns])
+    return df.join(several, same, "left_anti").unionByName(picked)
 
 
 def loaded_dates(df: DataFrame, column: str = "window_start") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.functions.prices import split_factor
 from barloom.plans.sizing import fits_broadcast
 from barloom.schemas import PRICES, SPLITS, conform
+from barloom.session import materialize
 
 
 def _valid_ratio() -> Column:
@@ -83,7 +84,8 @@ def split_intervals(splits: DataFrame, on_execution_day: bool = True) -> DataFra
     The factor of a bar is the product of all splits executed on or after its date, so it
     is constant between two split dates. ``after`` is null for the first interval; dates
     after the last split have no interval (factor 1). Splits are first multiplied up per
-    date: the windows see at most one row per ticker and calendar day.
+    date: the windows see at most one row per ticker and calendar day. The product runs
+    from the last date backwards, so that each row adds one factor.
     """
     last_day = F.col("execution_date") if on_execution_day else F.date_sub("execution_date", 1)
     steps = (
@@ -91,13 +93,12 @@ def split_intervals(splits: DataFrame, on_execution_day: bool = True) -> DataFra
         .groupBy("ticker", last_day.alias("upto"))
         .agg(F.product("split_factor").alias("step"))
     )
-    by_date = W.partitionBy("ticker").orderBy("upto")
-    from_here = by_date.rowsBetween(W.currentRow, W.unboundedFollowing)
+    backwards = W.partitionBy("ticker").orderBy(F.desc("upto"))
     return steps.select(
         "ticker",
-        F.lag("upto").over(by_date).alias("after"),
+        F.lead("upto").over(backwards).alias("after"),
         "upto",
-        F.product("step").over(from_here).alias("cumulative_factor"),
+        F.product("step").over(backwards.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("cumulative_factor"),
     )
 
 
@@ -115,6 +116,7 @@ def with_split_factor(
     by_year = split_intervals(splits, on_execution_day).withColumn(
         "_year", F.explode(F.sequence(F.year(begin), F.year("upto")))
     )
+    by_year = materialize(by_year, "intervals")  # counted here and joined twice below
     place = F.broadcast if fits_broadcast(by_year) else (lambda side: side)
     first = by_year.filter(F.col("after").isNull()).select(
         "ticker", F.col("upto").alias("_first"), F.col("cumulative_factor").alias("_whole")

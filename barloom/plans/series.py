@@ -4,7 +4,8 @@ A window over ``partitionBy(key)`` puts all rows of a key into one task. That is
 daily bars of thousands of tickers and fatal for one ticker with a third of all rows.
 Series longer than ``max_rows`` are therefore cut by time into chunks, each of which also
 gets the ``halo`` rows before it; the caller computes its windows per chunk and keeps the
-rows that are the chunk's own.
+rows that are the chunk's own. Values that depend on at most ``halo`` rows are the same by
+either way.
 """
 
 from __future__ import annotations
@@ -64,9 +65,11 @@ def series_pieces(
     if hot.isEmpty():
         return [whole(df)]
 
-    hot = broadcast_if_small(materialize(hot, "hot-keys"))
-    cold_rows = df.join(hot, key, "left_anti")
-    hot_rows = df.join(hot, key, "left_semi").withColumn(
+    # Null is a key like any other here.
+    hot = broadcast_if_small(materialize(hot.select(F.col(key).alias("_hot")), "hot-keys"))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    cold_rows = df.join(hot, is_hot, "left_anti")
+    hot_rows = df.join(hot, is_hot, "left_semi").withColumn(
         "slice", F.floor(F.unix_millis(F.col(ts)) / F.lit(slice_ms))
     )
     before = W.partitionBy(key).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
@@ -85,11 +88,13 @@ def series_pieces(
         .withColumn("own_chunk", F.floor(F.col("base") / max_rows))
         .withColumn("last_chunk", F.floor((F.col("base") + F.col("n") + (halo - 1)) / max_rows))
         .drop("n")
+        .withColumnsRenamed({key: "_key", "slice": "_slice"})
     )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("slice").eqNullSafe(F.col("_slice"))
     chunks = (
-        hot_rows.join(broadcast_if_small(slices), [key, "slice"])
+        hot_rows.join(broadcast_if_small(slices), same)
         .withColumn("chunk", F.explode(F.sequence("own_chunk", "last_chunk")))
         .withColumn("own", F.col("chunk") == F.col("own_chunk"))
-        .drop("slice", "own_chunk", "last_chunk")
+        .drop("slice", "own_chunk", "last_chunk", "_key", "_slice")
     )
     return [whole(cold_rows), Pieces(chunks, (key, "chunk"))]

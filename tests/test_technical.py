@@ -95,6 +95,40 @@ def test_missing_values(spark, rows, max_rows):
         assert (atr is None) == (i < 15 or i > broken)
 
 
-def test_length_limit(spark, rows):
-    with pytest.raises(ValueError):
-        technical_indicators(frame(spark, rows[:5]), close_lengths=(600,))
+def test_any_length(spark, rows):
+    hot = sorted((r for r in rows if r[0] == "HOT"), key=lambda r: r[1])[:2000]
+    got = technical_indicators(frame(spark, hot), close_lengths=(777, 1500), volume_lengths=(3,))
+    close = [r[4] for r in hot]
+    for r in got.selectExpr("unix_millis(window_start) as ms", "sma_777", "sma_1500").collect():
+        i = next(k for k, x in enumerate(hot) if x[1] == r.ms)
+        for n, value in ((777, r.sma_777), (1500, r.sma_1500)):
+            assert (value is None) if i < n else value == pytest.approx(sum(close[i - n : i]) / n, rel=1e-12)
+
+
+def test_small_prices_after_large_ones(spark):
+    """Differences of running sums would leave nothing of the small ones."""
+    data = [("X", 60_000 * k, p, p, p, 1) for k in range(400) for p in [1e12 if k < 100 else 0.001]]
+    got = result(technical_indicators(frame(spark, data)))
+    for k in (121, 150, 200, 399):
+        assert got["X", 60_000 * k][0] == pytest.approx(0.001, rel=1e-12)
+
+
+@pytest.mark.parametrize("value", [float("inf"), float("-inf"), float("nan")])
+def test_values_that_are_not_finite_are_missing(spark, value):
+    data = [("X", 60_000 * k, 2.0, 1.0, value if k == 30 else 1.5, 1) for k in range(300)]
+    got = result(technical_indicators(frame(spark, data)))
+    for k in range(300):
+        assert (got["X", 60_000 * k][0] is None) == (k < 20 or 30 < k <= 50)
+        assert (got["X", 60_000 * k][4] is None) == (k < 15 or k > 30)
+
+
+def test_pieces_do_not_change_a_bit(spark, rows):
+    whole = result(technical_indicators(frame(spark, rows)))
+    assert result(technical_indicators(frame(spark, rows), max_rows=1500, slice_ms=200_000)) == whole
+
+
+def test_rows_without_ticker_are_a_series(spark, rows):
+    nulls = [(None, *r[1:]) for r in rows if r[0] == "HOT"][:4000]
+    whole = result(technical_indicators(frame(spark, nulls)))
+    cut = result(technical_indicators(frame(spark, nulls), max_rows=1500, slice_ms=200_000))
+    assert len(whole) == 4000 and cut == whole
