@@ -1,4 +1,7 @@
-"""The jobs a user runs: daily update, bulk load, gap check, verification, readiness."""
+"""The jobs a user runs: daily update, bulk load, gap check, verification, readiness.
+
+Fixed values: the keys of the reports are those that users of the jobs read.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barloom.jobs.ingest import ingest_missing
 from barloom.jobs.rebuild import (
@@ -32,24 +36,32 @@ class Feeds:
     holidays: DataFrame | None = None
 
 
-def fill_gaps(wh: Warehouse, root: str, holidays: DataFrame | None = None) -> dict[str, int]:
-    """Load trading days that are missing between the first and last loaded date.
+def fill_gaps(
+    wh: Warehouse, root: str, holidays: DataFrame | None = None, readjust: bool = True
+) -> dict[str, int]:
+    """Load trading days that are missing between the first and last loaded date, and bring
+    adjusted prices and indicators up to date if any were found.
 
-    Without ``holidays`` (a frame with ``date``) the exchange's rules tell them.
+    Without ``holidays`` (a frame with ``date``) the exchange's rules tell them, for the
+    years of the loaded dates.
     """
+    loaded = wh.loaded_dates("stocks_raw")
+    years = loaded.agg(F.year(F.min("date")).alias("first"), F.year(F.max("date")).alias("last")).first()
+    if years.first is None:
+        return {"gaps_found": 0, "dates_filled": 0, "raw_rows_added": 0}
     if holidays is None:
-        holidays = nyse_holidays(wh.spark, 1990, dt.date.today().year)
-    gaps = [
-        r.date
-        for r in trading_day_gaps(wh.loaded_dates("stocks_raw"), holidays).toLocalIterator()
-    ]
+        holidays = nyse_holidays(wh.spark, years.first, years.last)
+    gaps = [r.date for r in trading_day_gaps(loaded, holidays).toLocalIterator()]
     if not gaps:
         return {"gaps_found": 0, "dates_filled": 0, "raw_rows_added": 0}
-    loaded = ingest_missing(wh, "stocks", root, only=gaps)
+    filled = ingest_missing(wh, "stocks", root, only=gaps)
+    if readjust and filled["rows"]:
+        recalculate_adjusted(wh)
+        recalculate_technical(wh)
     return {
         "gaps_found": len(gaps),
-        "dates_filled": loaded["files_processed"],
-        "raw_rows_added": loaded["rows"],
+        "dates_filled": filled["files_processed"],
+        "raw_rows_added": filled["rows"],
     }
 
 
@@ -114,7 +126,7 @@ def daily_update(
     """
     report: dict[str, object] = {}
     report["stocks"] = ingest_missing(wh, "stocks", feeds.stocks)
-    report["gaps"] = fill_gaps(wh, feeds.stocks, feeds.holidays)
+    report["gaps"] = fill_gaps(wh, feeds.stocks, feeds.holidays, readjust=False)
     report["splits"] = sync_splits(wh, feeds.splits)
     report["adjusted"] = recalculate_adjusted(wh)
     report["technical"] = recalculate_technical(wh)

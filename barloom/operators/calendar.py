@@ -35,11 +35,14 @@ def trading_days(
     return _open_days(date_spine(spark, start, end), holidays)
 
 
-# Days on which the exchange stayed closed outside its holiday rules (since 1990).
+# Days on which the exchange stayed closed outside its holiday rules (since 1971).
 SPECIAL_CLOSURES = (
+    "1972-11-07", "1972-12-28", "1973-01-25", "1976-11-02", "1977-07-14", "1980-11-04", "1985-09-27",
     "1994-04-27", "2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14", "2004-06-11",
     "2007-01-02", "2012-10-29", "2012-10-30", "2018-12-05", "2025-01-09",
 )
+# Before, holidays fell on other days and sessions on Saturdays.
+FIRST_RULED_YEAR = 1971
 
 
 def _easter(year: Column) -> Column:
@@ -59,7 +62,12 @@ def _easter(year: Column) -> Column:
 
 
 def nyse_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Full-day closures of the New York Stock Exchange by its holiday rules, since 1990."""
+    """Full-day closures of the New York Stock Exchange by its holiday rules, since 1971.
+
+    Earlier years raise ``ValueError``: pass holidays of your own there.
+    """
+    if first_year < FIRST_RULED_YEAR:
+        raise ValueError(f"no holiday rules before {FIRST_RULED_YEAR}: pass the holidays of {first_year}")
     y = F.col("year")
 
     def on(month: int, day: int) -> Column:

@@ -94,6 +94,12 @@ def not_nan(name: str) -> Rule:
     return _rule(F.isnan(_number(name)), f"{name} is NaN", f"{name} must be a number, got NaN")
 
 
+def finite(name: str) -> Rule:
+    return _rule(
+        F.abs(_number(name)) == float("inf"), f"{name} not finite", f"{name} must be finite, got ", _number(name)
+    )
+
+
 def ordered(greater: str, smaller: str, greater_first: bool = True) -> Rule:
     """``greater`` >= ``smaller``, checked if all four prices are numbers; NaN passes."""
     g, s = _number(greater), _number(smaller)
@@ -135,7 +141,7 @@ def stock_rules() -> Rules:
         tuple(required(f) for f in fields),
         (
             non_empty("ticker"),
-            *[rule(p) for p in PRICES for rule in (positive, numeric, not_nan)],
+            *[rule(p) for p in PRICES for rule in (positive, numeric, not_nan, finite)],
             non_negative("volume"),
             numeric("volume"),
             *price_order(),
@@ -156,7 +162,7 @@ def option_rules(ticker_column: str = "ticker") -> Rules:
             one_of("option_type", ("C", "P")),
             positive("strike_price"),
             numeric("strike_price"),
-            *[rule(p) for p in PRICES for rule in (non_negative, numeric, not_nan)],
+            *[rule(p) for p in PRICES for rule in (non_negative, numeric, not_nan, finite)],
             *price_order(),
         ),
     )

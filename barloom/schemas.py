@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The names of all columns below are those that users of the tables rely on.
+
+
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
 
@@ -84,13 +87,13 @@ class Table:
     schema: T.StructType
     sort_keys: tuple[str, ...] = ()
     date_column: str | None = None
-    # "day": partitions (trade_date, source); "month": trade_month; None: unpartitioned
+    # "day": partitions (source, trade_date); "month": trade_month; None: unpartitioned
     grain: str | None = None
     default_mode: str = "overwrite"
 
     @property
     def partition_columns(self) -> tuple[str, ...]:
-        return {"day": ("trade_date", "source"), "month": ("trade_month",)}.get(self.grain, ())
+        return {"day": ("source", "trade_date"), "month": ("trade_month",)}.get(self.grain, ())
 
     @property
     def stored_schema(self) -> T.StructType:

@@ -7,14 +7,13 @@ so it is read by one task; everything after the read is spread again by the writ
 from __future__ import annotations
 
 import datetime as dt
-import zlib
-from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
-import pandas as pd
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.functions.times import file_date
 from barloom.schemas import BARS_CSV, CORRUPT, LANDED_CSV
@@ -54,8 +53,10 @@ def list_files(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFr
 def dated_files(
     spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """Files with a date in their name as (path, date)."""
-    files = list_files(spark, root).select("path", file_date(F.col("path")).alias("date"))
+    """Files with a date in their name as (path, date, length, modification_time)."""
+    files = list_files(spark, root).select(
+        "path", file_date(F.col("path")).alias("date"), "length", "modification_time"
+    )
     files = files.filter(F.col("date").isNotNull())
     if start is not None:
         files = files.filter(F.col("date") >= F.lit(start))
@@ -87,7 +88,7 @@ def read_paths(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Bars of the given files or folders with ``path`` and the text of unreadable rows.
 
     The schema is fixed and the header must match it: a file with other columns fails
-    instead of being read into the wrong ones.
+    instead of being read into the wrong ones (see :func:`read_by_name`).
     """
     return (
         spark.read.schema(LANDED_CSV)
@@ -131,38 +132,57 @@ def rows_per_file(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-HEADER = ",".join(BARS_CSV.names)
+def read_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """One file whose columns stand in another order or among others, as :func:`read_paths` gives
+    files. A value that does not parse makes its line unreadable."""
+    rows = spark.read.options(**{**CSV_OPTIONS, "enforceSchema": True}).csv(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in BARS_CSV}
+    bad = reduce(or_, [F.col(c).isNotNull() & value.isNull() for c, value in typed.items()])
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in typed])
+    return rows.select(
+        *[value.alias(c) for c, value in typed.items()],
+        F.when(bad, line).alias(CORRUPT),
+        F.col("_metadata.file_path").alias("path"),
+    )
 
 
-@F.pandas_udf(T.StringType())
-def _defect(contents: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Why a gzip CSV cannot be loaded; null if it is whole and has the known header."""
+# What Spark says of files that it cannot read, whatever else may go wrong in a job.
+HEADER_ERRORS = ("CSV header does not conform", "Number of column in CSV header")
+READ_ERRORS = (
+    *HEADER_ERRORS, "FAILED_READ_FILE", "EOFException", "ZipException", "not a gzip file",
+    "incorrect header check", "invalid stored block", "invalid code lengths", "invalid distance",
+    "invalid block type", "incorrect data check",
+)
 
-    def defect(data: bytes) -> str | None:
-        rest, start = memoryview(data), b""
-        try:
-            while len(rest):
-                member = zlib.decompressobj(wbits=31)
-                while len(rest) and not member.eof:
-                    piece = member.decompress(rest, 1 << 20)
-                    rest = memoryview(member.unconsumed_tail or member.unused_data)
-                    start = start or piece[:1000]
-                if not member.eof:
-                    return "cut off"
-        except zlib.error:
-            return "damaged"
-        header = start.split(b"\n", 1)[0].strip().decode("utf-8", "replace").lower()
-        return None if header in ("", HEADER) else "header"
 
-    for batch in contents:
-        yield batch.map(defect)
+def is_read_error(error: Exception) -> bool:
+    return any(said in str(error) for said in READ_ERRORS)
 
 
-def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Those of the files that cannot be loaded, with the reason."""
-    return (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select("path", _defect("content").alias("reason"))
-        .filter("reason is not null")
-    )
+def unreadable_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Those of the files that :func:`read_paths` cannot read, with ``header`` or ``damaged``.
+
+    The reader that loads them is asked: a list that fails is halved until single files are
+    left, so a few broken files cost a few passes over their neighbours.
+    """
+    try:
+        read_paths(spark, paths).write.format("noop").mode("overwrite").save()
+        return {}
+    except (PySparkException, Py4JJavaError) as error:
+        if not is_read_error(error):
+            raise
+        if len(paths) == 1:
+            return {paths[0]: "header" if any(said in str(error) for said in HEADER_ERRORS) else "damaged"}
+    middle = len(paths) // 2
+    return unreadable_files(spark, paths[:middle]) | unreadable_files(spark, paths[middle:])
+
+
+def has_all_columns(spark: SparkSession, path: str) -> bool:
+    """Whether a file's header names every column of a bar."""
+    try:
+        found = spark.read.option("header", True).csv(path).columns
+    except (PySparkException, Py4JJavaError) as error:
+        if not is_read_error(error):
+            raise
+        return False
+    return set(BARS_CSV.names) <= set(found)

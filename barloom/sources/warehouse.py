@@ -1,22 +1,25 @@
 """The six tables as Parquet folders.
 
-Layout: ``<root>/<table>/v00001``, and ``<root>/<table>/CURRENT`` names the version that
-readers use. Appending adds to the current version; overwriting writes a new version and
-then changes ``CURRENT``, so a job may rebuild a table from the table itself and a failed
-job leaves the old data in place. One writer per table at a time.
-
-Bars as landed are partitioned by ``trade_date`` and by ``source`` (the file's date), so
-that writing a source again replaces just its own rows. Derived tables are partitioned by
-``trade_month``. Rows reach the writer by one rebalancing shuffle on the partition columns:
-large days and months are cut into several files, small ones share a task, and the input
-is computed once (range partitioning would run it a second time to sample it). Files are
-sorted by their keys, so a single ticker is found by row-group, dictionary and page
-statistics; partitioning by ticker would make one small file per ticker and load.
+Layout: ``<root>/<table>/v00001``, and a marker ``<root>/<table>/_versions/v00001`` once that
+version is whole; readers take the highest marked version. Markers are created and never
+changed, so a lost job leaves the version before it in place, and a job may rebuild a table
+from the table itself. Appending adds to the current version. One writer per table at a time.
+
+Bars as landed are partitioned by ``source`` (the file's date) and by ``trade_date``. Writing
+a source again replaces the whole source: the new rows are written aside and then take the
+place of the folder. A source that is lost between these steps is not there, so the next
+ingest loads it again. Derived tables are partitioned by ``trade_month``. Rows reach the
+writer by one rebalancing shuffle on the partition columns: large days and months are cut
+into several files, small ones share a task, and the input is computed once (range
+partitioning would run it a second time to sample it). Files are sorted by their keys, so a
+single ticker is found by row-group, dictionary and page statistics; partitioning by ticker
+would make one small file per ticker and load.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,30 +45,54 @@ class Warehouse:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _names(self, folder: str) -> list[str]:
+        """Names in a folder, in order; none if it does not exist."""
+        path, fs = self._path(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
     def _current(self, table: str) -> str | None:
-        pointer, fs = self._path(f"{self.root}/{table}/CURRENT")
-        if not fs.exists(pointer):
-            return None
-        stream = fs.open(pointer)
-        try:
-            version = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return f"{self.root}/{table}/{version.strip()}"
+        marked = [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v")]
+        return f"{self.root}/{table}/{marked[-1]}" if marked else None
 
     def _next(self, table: str) -> str:
-        folder, fs = self._path(f"{self.root}/{table}")
-        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        used = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
+        used = [int(n[1:]) for n in self._names(f"{self.root}/{table}") if n.startswith("v") and n[1:].isdigit()]
         return f"{self.root}/{table}/v{max(used, default=0) + 1:05d}"
 
     def _publish(self, table: str, version: str) -> None:
-        pointer, fs = self._path(f"{self.root}/{table}/CURRENT")
-        stream = fs.create(pointer, True)
-        try:
-            stream.write(bytearray(version.rsplit("/", 1)[1].encode()))
-        finally:
-            stream.close()
+        marker, fs = self._path(f"{self.root}/{table}/_versions/{version.rsplit('/', 1)[1]}")
+        fs.create(marker, False).close()
+
+    def drop_old_versions(self, table: str, keep: int = 2) -> list[str]:
+        """Delete all but the last ``keep`` marked versions, which readers may still have open."""
+        marked = [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v")]
+        old = marked[: -max(1, keep)]
+        for name in old:
+            for folder in (f"_versions/{name}", name):
+                path, fs = self._path(f"{self.root}/{table}/{folder}")
+                fs.delete(path, True)
+        return old
+
+    def sources(self, table: str) -> list[str]:
+        """Names of the sources that a landed table holds: a few per date."""
+        current = self._current(table)
+        names = self._names(current) if current else []
+        return [n.removeprefix(f"{SOURCE}=") for n in names if n.startswith(f"{SOURCE}=")]
+
+    def _swap_in(self, staged: str, target: str, sources: list[str]) -> None:
+        """Folders of sources in ``staged`` take the place of those in ``target``; further
+        ``sources`` of the target go, with what streams wrote under their names."""
+        new = [n for n in self._names(staged) if n.startswith(f"{SOURCE}=")]
+        gone = {*new, *(f"{SOURCE}={s}" for s in sources)}
+        for name in self._names(target):
+            if name in gone or any(name.startswith(f"{g}_b") for g in gone):
+                path, fs = self._path(f"{target}/{name}")
+                fs.delete(path, True)
+        for name in new:
+            path, fs = self._path(f"{staged}/{name}")
+            if not fs.rename(path, self._path(f"{target}/{name}")[0]):
+                raise OSError(f"cannot move {staged}/{name}")
+        path, fs = self._path(staged)
+        fs.delete(path, True)
 
     def exists(self, table: str) -> bool:
         return self._current(table) is not None
@@ -131,12 +158,15 @@ class Warehouse:
 
     # -- writes -------------------------------------------------------------------------
 
-    def write(self, df: DataFrame, table: str, mode: str | None = None) -> None:
+    def write(
+        self, df: DataFrame, table: str, mode: str | None = None, sources: list[str] | None = None
+    ) -> None:
         """Cast to the table's schema and write.
 
         ``append`` adds rows, ``overwrite`` replaces the table, and ``replace`` (tables of
-        landed bars) replaces the rows of the sources in ``df``: writing the same file
-        twice leaves it there once.
+        landed bars) replaces the sources in ``df`` as a whole: writing the same file twice
+        leaves it there once, and rows it no longer has are gone. ``sources`` names further
+        sources to replace, such as files of which no row was good.
         """
         spec, mode = TABLES[table], mode or TABLES[table].default_mode
         if mode not in ("append", "overwrite", "replace"):
@@ -148,8 +178,10 @@ class Warehouse:
         writer = _laid_out(df, spec).write.option("compression", "zstd")
         if spec.partition_columns:
             writer = writer.partitionBy(*spec.partition_columns)
-        if mode == "replace":
-            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+        if mode == "replace" and target == current:
+            staged = f"{target}/_staged-{uuid.uuid4().hex[:12]}"
+            writer.parquet(staged)
+            self._swap_in(staged, target, sources or [])
         else:
             writer.mode("append").parquet(target)
         if target != current:
@@ -176,7 +208,7 @@ def _bound(spec: Table, bound: dt.date | dt.datetime, is_start: bool) -> Column:
     else:
         condition = column < _instant(day + dt.timedelta(days=1))
     if spec.grain is not None:
-        partition = F.col(spec.partition_columns[0])
+        partition = F.col(spec.partition_columns[-1])
         edge = day if spec.grain == "day" else day.replace(day=1)
         condition = condition & (partition >= F.lit(edge) if is_start else partition <= F.lit(edge))
     return condition

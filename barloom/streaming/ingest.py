@@ -36,13 +36,16 @@ def ingest_stream(
     """Load all files that the checkpoint has not seen yet, then stop.
 
     A batch is written under its own source name, so that a batch which is tried again
-    replaces what its first try left.
+    replaces what its first try left. Dates that a batch load has brought are left out, and
+    a batch load of a date replaces what streams brought of it.
     """
     rows = landed_rows(stream_bars(wh.spark, root, max_files_per_trigger), kind)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         source = F.concat(F.coalesce(F.col(SOURCE), F.lit("undated")), F.lit(f"_b{batch_id}"))
+        loaded = [s for s in wh.sources(TABLE_OF[kind]) if "_b" not in s]  # dates
         good = keep_where(batch, F.col("reject").isNull())
+        good = good.filter(F.col(SOURCE).isNull() | ~F.col(SOURCE).isin(loaded))
         wh.write(good.withColumn(SOURCE, source), TABLE_OF[kind], "replace")
 
     return (

@@ -8,36 +8,34 @@ from barloom.functions.symbols import is_stock_symbol, option_underlying
 from barloom.functions.times import file_date, iso_to_ts, ms_to_ts, ns_to_ts, ns_to_ts_micros
 from barloom.operators.options import option_rejects, parse_option_tickers, parsed_options
 
+# The grammar: "O:", a root with at least one letter (kept without other characters, upper case),
+# yymmdd, C or P, eight digits in thousandths.
 VALID = {
-    "O:AAPL210917C00145000": ("AAPL", dt.date(2021, 9, 17), "C", 145.0),
-    "O:TSLA220121P01000000": ("TSLA", dt.date(2022, 1, 21), "P", 1000.0),
-    "O:ACB1260116C00001000": ("ACB", dt.date(2026, 1, 16), "C", 1.0),
-    "O:AQMS1251017P00002500": ("AQMS", dt.date(2025, 10, 17), "P", 2.5),
-    "O:A230616C00100000": ("A", dt.date(2023, 6, 16), "C", 100.0),
-    "O:GM240315P00050000": ("GM", dt.date(2024, 3, 15), "P", 50.0),
-    "O:GOOGL250620C02500000": ("GOOGL", dt.date(2025, 6, 20), "C", 2500.0),
-    "O:SPY240119C00450500": ("SPY", dt.date(2024, 1, 19), "C", 450.5),
-    "O:QQQ240216P00375250": ("QQQ", dt.date(2024, 2, 16), "P", 375.25),
-    "O:XYZ240101C00000500": ("XYZ", dt.date(2024, 1, 1), "C", 0.5),
-    "O:A240101C00010000": ("A", dt.date(2024, 1, 1), "C", 10.0),
-    "O:brk.b240101C00010000": ("BRKB", dt.date(2024, 1, 1), "C", 10.0),
+    "O:F230303P00012345": ("F", dt.date(2023, 3, 3), "P", 12.345),  # shortest root, all strike digits
+    "O:NVDA000229C99999999": ("NVDA", dt.date(2000, 2, 29), "C", 99999.999),  # leap day, largest strike
+    "O:KO991231P00000000": ("KO", dt.date(2099, 12, 31), "P", 0.0),  # last date, smallest strike
+    "O:META1250606C00000001": ("META", dt.date(2025, 6, 6), "C", 0.001),  # adjusted root with a digit
+    "O:9Z9250606C00007000": ("Z", dt.date(2025, 6, 6), "C", 7.0),  # digits around the root
+    "O:rds/a220114P00033100": ("RDSA", dt.date(2022, 1, 14), "P", 33.1),  # lower case and a mark
+    "O:LONGERROOT270115C01234000": ("LONGERROOT", dt.date(2027, 1, 15), "C", 1234.0),
 }
 INVALID = [
-    "",
-    "O:",
-    "O:AAPL",
-    "AAPL210917C00145000",
-    "O:AAPL210917X00145000",
-    "O:AAPL21091C00145000",
-    "O:AAPL2109177C00145000",
-    "O:AAPL210917C0014500",
-    "O:AAPL210917C001450000",
-    "O:210917C00145000",
     None,
-    "O:AAPL210231C00145000",  # no such day
-    "O:AAPL210917c00145000",  # lower-case type
-    "O:AAPL210917C00145000\n",
-    "O:123210917C00145000",  # root without letters
+    "",
+    "F230303P00012345",  # no prefix
+    "o:F230303P00012345",  # prefix in lower case
+    "O:230303P00012345",  # no root
+    "O:77230303P00012345",  # a root without letters
+    "O:F230303",  # cut after the date
+    "O:F230303P0001234",  # seven digits
+    "O:F230303Q00012345",  # another type
+    "O:F230303p00012345",  # type in lower case
+    "O:F230229P00012345",  # no leap day
+    "O:F231301P00012345",  # month 13
+    "O:F230300P00012345",  # day 0
+    "O:F230303P0001234X",  # a letter among the digits
+    "O:F230303P00012345 ",  # something behind
+    "O:F230303P00012345\n",
 ]
 
 
@@ -53,18 +51,18 @@ def test_option_symbols(spark):
 
 
 def test_option_underlying(spark):
+    """Everything between the prefix and the last fifteen characters, whatever these are."""
     cases = {
-        "O:AAPL210917C00145000": "AAPL",
-        "O:ACB1260116C00001000": "ACB",
-        "O:AQMS1251017P00002500": "AQMS",
-        "O:A230616C00100000": "A",
-        "O:GOOGL250620C02500000": "GOOGL",
-        "O:AAPLxxxxxxxxxxxxxxx": "AAPL",
+        "O:F230303P00012345": "F",
+        "O:rds/a220114P00033100": "RDSA",
+        "O:ABCD" + "?" * 15: "ABCD",
+        "O:A" + "?" * 15: "A",
+        "O:" + "?" * 15: None,  # nothing in between
+        "O:12" + "?" * 15: None,
+        "P:ABCD" + "?" * 15: None,
         "": None,
         "O:": None,
-        "O:AAPL": None,
-        "AAPL210917C00145000": None,
-        "O:123210917C00145000": None,
+        "short": None,
     }
     rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
     for r in rows.select("t", option_underlying(F.col("t")).alias("u")).collect():
@@ -73,8 +71,8 @@ def test_option_underlying(spark):
 
 def test_strike_label(spark):
     cases = {
-        145.0: "$145.00", 150.5: "$150.50", 1000.0: "$1000.00", 2.5: "$2.50", 0.5: "$0.50",
-        100.123: "$100.12", 0.125: "$0.12", 2.675: "$2.67",
+        0.0: "$0.00", 7.0: "$7.00", 33.1: "$33.10", 12.345: "$12.35", 12.344: "$12.34", 0.375: "$0.38",
+        1234.0: "$1234.00", 99999.999: "$100000.00",
     }
     rows = spark.createDataFrame([(x,) for x in cases], "x double")
     for r in rows.select("x", strike_label(F.col("x")).alias("label")).collect():
@@ -100,29 +98,38 @@ def test_pct_diff(spark):
 
 def test_times(spark):
     row = spark.range(1).select(
-        ns_to_ts(F.lit(1602648000123456789)).alias("ns"),
-        ns_to_ts_micros(F.lit(1602648000123456789)).alias("us"),
-        ms_to_ts(F.lit(1697587200000)).alias("ms"),
+        ns_to_ts(F.lit(951782399987654321)).alias("ns"),
+        ns_to_ts_micros(F.lit(951782399987654321)).alias("us"),
+        ms_to_ts(F.lit(4102444799999)).alias("ms"),
         iso_to_ts(F.lit("2024-01-05T10:00:00Z")).alias("iso"),
         iso_to_ts(F.lit("2024-01-05T10:00:00+02:00")).alias("offset"),
         iso_to_ts(F.lit("not-a-date")).alias("bad"),
         iso_to_ts(F.lit("")).alias("empty"),
     ).select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("ns", "us", "ms", "iso", "offset", "bad", "empty")]).first()
-    assert row.ns == "2020-10-14 04:00:00.123000"
-    assert row.us == "2020-10-14 04:00:00.123456"
-    assert row.ms == "2023-10-18 00:00:00.000000"
+    assert row.ns == "2000-02-28 23:59:59.987000"
+    assert row.us == "2000-02-28 23:59:59.987654"
+    assert row.ms == "2099-12-31 23:59:59.999000"
     assert (row.iso, row.offset) == ("2024-01-05 10:00:00.000000", "2024-01-05 08:00:00.000000")
     assert (row.bad, row.empty) == (None, None)
 
 
+def test_texts_that_are_no_times(spark):
+    """Spark would complete some of these by today's date or the first of a month."""
+    whole = {"2024-02-29": "2024-02-29 00:00:00", "2024-02-29 07:05": "2024-02-29 07:05:00", "2024-02-29T07:05:09.5-0130": "2024-02-29 08:35:09"}
+    none = ["12:30:00", "T10", "2024", "2024-01", "2024-1-5", "2023-02-29", "2024-01-05T", "2024-01-05T25:00:00Z", " 2024-01-05", "2024-01-05Z", "+12024-01-05"]
+    rows = spark.createDataFrame([(t,) for t in [*whole, *none]], "t string")
+    got = {r.t: r.s for r in rows.select("t", F.date_format(iso_to_ts(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("s")).collect()}
+    assert got == whole | dict.fromkeys(none)
+
+
 @pytest.mark.parametrize(
     "path,expected",
     [
-        ("s3a://b/stocks/2020/10/2020-10-14.csv.gz", dt.date(2020, 10, 14)),
-        ("file:/x/trade_date=2020-10-14/part-00000-a.csv.gz", dt.date(2020, 10, 14)),
+        ("s3a://b/stocks/2019/07/2019-07-03.csv.gz", dt.date(2019, 7, 3)),
+        ("file:/x/trade_date=2019-07-03/part-00000-a.csv.gz", dt.date(2019, 7, 3)),
         ("/x/2020-13-14.csv.gz", None),
         ("/x/notes.csv.gz", None),
-        ("/x/2020-10-14.parquet", None),
+        ("/x/2019-07-03.parquet", None),
     ],
 )
 def test_file_date(spark, path, expected):
@@ -130,8 +137,8 @@ def test_file_date(spark, path, expected):
 
 
 def test_stock_symbols(spark):
-    cases = {"AAPL": True, "BRK.A": True, "ABCDEFGHIJ": True, "ABCDEFGHIJK": False, "aapl": False,
-             "A1": False, "": False, "A B": False, "A\n": False, None: False}
+    cases = {"Q": True, "Q.": True, ".": True, "QRSTUVWXYZ": True, "QRSTU.WXYZZ": False, "q": False,
+             "Q7": False, "": False, " Q": False, "Q-R": False, "Q\n": False, None: False}
     rows = spark.createDataFrame([(t,) for t in cases], "t string")
     for r in rows.select("t", is_stock_symbol(F.col("t")).alias("ok")).collect():
         assert r.ok == cases[r.t], r.t

@@ -121,9 +121,80 @@ def test_bad_rows_and_files(spark, stocks, wh):
     assert (got["files_processed"], got["errors"], got["rows"]) == (5, 2, 15)
     assert wh.scan("stocks_raw").count() == 18
     broken = flatfiles.unreadable_files(spark, [str(p) for p in stocks.rglob("*.gz")])
-    assert {r.path.rsplit("/", 1)[1]: r.reason for r in broken.collect()} == {
-        "2024-01-10.csv.gz": "cut off", "2024-01-11.csv.gz": "header",
+    assert {p.rsplit("/", 1)[1]: why for p, why in broken.items()} == {
+        "2024-01-10.csv.gz": "damaged", "2024-01-11.csv.gz": "header",
     }
+    # Refused files are not tried again until they change.
+    again = ingest_missing(wh, "stocks", str(stocks))
+    assert (again["files_processed"], again["errors"]) == (0, 0)
+    land(stocks, D(2024, 1, 10), stock_lines(D(2024, 1, 10)) * 3)
+    assert ingest_missing(wh, "stocks", str(stocks))["rows"] == 9
+
+
+def test_quoted_header_beside_a_damaged_file(spark, tmp_path, wh):
+    root = tmp_path / "quoted"
+    land(root, DAYS[0], stock_lines(DAYS[0]), header=",".join(f'"{c}"' for c in HEADER.split(",")))
+    cut = land(root, DAYS[1], stock_lines(DAYS[1]) * 2000)
+    cut.write_bytes(cut.read_bytes()[:-200])
+    got = ingest_missing(wh, "stocks", str(root))
+    assert (got["files_processed"], got["errors"], got["rows"]) == (1, 1, 3)
+
+
+def test_columns_in_another_order(spark, tmp_path, wh):
+    root = tmp_path / "ordered"
+    land(root, DAYS[0], stock_lines(DAYS[0]))
+    land(root, DAYS[1], [f"{ns(DAYS[1])},x,AAA,7,1.5,2.5,3.5,0.5,2", f"{ns(DAYS[1])},x,BBB,seven,1,1,1,1,1"],
+         header="window_start,note,ticker,volume,open,close,high,low,transactions")
+    got = ingest_missing(wh, "stocks", str(root))
+    assert (got["files_processed"], got["errors"], got["rows"], got["bad_rows"]) == (2, 0, 4, 1)
+    row = wh.scan("stocks_raw", "AAA", DAYS[1], DAYS[1]).first()
+    assert (row.volume, row.open, row.close, row.high, row.low, row.transactions) == (7, 1.5, 2.5, 3.5, 0.5, 2)
+
+
+def test_counts_that_are_no_counts(spark, tmp_path, wh):
+    root = tmp_path / "counts"
+    bad = [f"BAD,{v},1,1,1,1,{ns(DAYS[0])},1" for v in ("NaN", "1e300", "Infinity", "-Infinity")]
+    land(root, DAYS[0], [*stock_lines(DAYS[0]), *bad, f"OK,,1,1,1,1,{ns(DAYS[0])},1"])
+    land(root, DAYS[1], stock_lines(DAYS[1]))
+    got = ingest_missing(wh, "stocks", str(root))
+    assert (got["files_processed"], got["errors"], got["rows"], got["bad_rows"]) == (2, 0, 7, 4)
+
+
+def test_reload_replaces_the_whole_source(spark, tmp_path, wh):
+    root, day = tmp_path / "reload", DAYS[0]
+    late = ns(day + dt.timedelta(days=1), 1)
+    land(root, day, [f"AAA,1,1,1,1,1,{ns(day)},1", f"AAA,2,1,1,1,1,{late},1"])
+    land(root, DAYS[1], stock_lines(DAYS[1]))
+    load_dates(wh, "stocks", str(root))
+    land(root, day, [f"AAA,5,1,1,1,1,{ns(day)},1"])
+    load_dates(wh, "stocks", str(root), [day])
+    assert [r.volume for r in wh.scan("stocks_raw", "AAA").orderBy("window_start").collect()] == [5, 10]
+    land(root, day, [f"AAA,-1,1,1,1,1,{ns(day)},1"])
+    load_dates(wh, "stocks", str(root), [day])  # all rows are rejected
+    assert wh.scan("stocks_raw").count() == 3
+
+
+def test_batch_and_stream_do_not_double(spark, options, tmp_path, wh):
+    run = lambda: ingest_stream(wh, "options", str(options), str(tmp_path / "cp"), 2).awaitTermination()
+    load_dates(wh, "options", str(options), DAYS[:2])
+    run()
+    assert wh.scan("options").count() == 10
+    load_dates(wh, "options", str(options), DAYS)
+    assert wh.scan("options").count() == 10
+
+
+def test_versions(spark, wh, stocks):
+    load_dates(wh, "stocks", str(stocks))
+    raw = wh.scan("stocks_raw")
+    for _ in range(3):
+        wh.write(raw, "stocks_adjusted", "overwrite")
+    root = Path(wh.root) / "stocks_adjusted"
+    # A version without a marker is one that a lost job left.
+    (root / "v00004").mkdir()
+    assert wh.scan("stocks_adjusted").count() == 15
+    assert wh._next("stocks_adjusted").endswith("v00005")
+    assert wh.drop_old_versions("stocks_adjusted") == ["v00001"]
+    assert not (root / "v00001").exists() and wh.scan("stocks_adjusted").count() == 15
 
 
 def test_options_ingest(spark, options, wh):
@@ -231,6 +302,7 @@ def test_gap_filling(spark, stocks, wh):
     assert update.fill_gaps(wh, str(stocks), holidays) == {"gaps_found": 2, "dates_filled": 2, "raw_rows_added": 6}
     assert update.fill_gaps(wh, str(stocks), holidays)["gaps_found"] == 0
     assert update.fill_gaps(wh, str(stocks)) == {"gaps_found": 1, "dates_filled": 1, "raw_rows_added": 3}
+    assert wh.scan("stocks_adjusted").count() == wh.scan("stocks_technical").count() == 15
 
 
 def test_one_ticker_jobs(spark, stocks, options, wh):
