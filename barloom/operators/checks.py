@@ -12,6 +12,7 @@ from barloom.operators.bars import sample_keys
 from barloom.operators.calendar import split_check_dates
 from barloom.operators.splits import splits_per_ticker
 from barloom.plans.sizing import broadcast_if_small
+from barloom.session import materialize
 
 # Fixed value: largest difference of a close that still passes, in percent.
 TOLERANCE_PERCENT = 0.1
@@ -55,7 +56,7 @@ def price_checks(
     if n is not None:
         chosen = sample_keys(splits_per_ticker(splits), n, seed)
         splits = splits.join(broadcast_if_small(chosen), "ticker", "left_semi")
-    checks = split_check_dates(splits)
+    checks = materialize(split_check_dates(splits), "check-dates")  # read four times below
     wanted = broadcast_if_small(checks)
     ours = _first_close(
         adjusted.select(

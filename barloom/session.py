@@ -25,7 +25,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":  # local-cluster is a cluster
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="barloom-")
         spark.conf.set(CHECKPOINT_KEY, base)

@@ -99,8 +99,8 @@ def _sma(column: str, n: int) -> str:
 
 _add(
     "sma_lagged",
-    f"""select ticker, {_WHEN}, {_r4(_sma('close', 20), 'sma_20')}, {_r4(_sma('close', 50), 'sma_50')},
-  {_r4(_sma('close', 200), 'sma_200')} from adjusted""",
+    f"""select ticker, {_WHEN}, {_r6(_sma('close', 20), 'sma_20')}, {_r6(_sma('close', 50), 'sma_50')},
+  {_r6(_sma('close', 200), 'sma_200')} from adjusted""",
     "adjusted",
 )
 _add(
@@ -108,15 +108,30 @@ _add(
     f"select ticker, {_WHEN}, {_r4(_sma('volume', 20), 'volume_sma_20')} from adjusted",
     "adjusted",
 )
+# The recurrence step by step: the mean of the first fourteen ranges, then each range's share.
+_RANGES = """ranges as materialized (select ticker, window_start, row_number() over w-1 as pos,
+    greatest(high-low, abs(high-lag(close) over w), abs(low-lag(close) over w)) as tr
+  from adjusted window w as (partition by ticker order by window_start)),
+wilder as (
+  select ticker, 14::bigint as pos, avg(tr) as atr from ranges where pos between 1 and 14 group by ticker having count(*)=14
+  union all select r.ticker, r.pos, (13*w.atr+r.tr)/14 from wilder w join ranges r on r.ticker=w.ticker and r.pos=w.pos+1)"""
+
+
+def _wilder(query: str, prices: str = "adjusted") -> str:
+    inputs = with_inputs("", prices).rstrip().replace("with ", "with recursive ", 1)
+    return f"{inputs},\n{_RANGES.replace('from adjusted', f'from {prices}')}\n{query}"
+
+
+ORACLES["atr_wilder"] = _wilder(
+    f"""select r.ticker, {_stamp('r.window_start', 'window_start')}, {_r6('w.atr', 'atr')}
+from ranges r left join wilder w on w.ticker=r.ticker and w.pos=r.pos-1"""
+)
 _add(
-    "atr_wilder",
-    f"""select ticker, {_WHEN}, {_r2('lag(atr) over (partition by ticker order by window_start)', 'atr')} from (
-  select *, case when pos>=14 then pow(13::double/14,pos)*sum(y) over (partition by ticker order by pos) end as atr from (
-    select *, case when pos<1 then 0 else tr/14*pow(14::double/13,greatest(pos,14)) end as y from (
-      select ticker, window_start, row_number() over w-1 as pos,
-        greatest(high-low, abs(high-lag(close) over w), abs(low-lag(close) over w)) as tr
-      from adjusted window w as (partition by ticker order by window_start))))""",
-    "adjusted",
+    "indicators_extreme",
+    f"""select ticker, {_WHEN}, round(log10({_sma('x', 20)}),6) as sma_20, round(log10({_sma('x', 50)}),6) as sma_50
+from (select ticker, window_start, case when volume%97<>0 and volume%89<>0
+  then close*case when quarter(window_start)%2=0 then 1e12 else 1e-12 end end as x from bars)""",
+    "bars",
 )
 
 _add(
@@ -257,7 +272,7 @@ _add(
     "bars",
 )
 
-_LOADED = "(select distinct window_start::date as date from bars where ticker='TKA')"
+_LOADED = "(select distinct window_start::date as date from bars where day(window_start) not in (3,11,19,27))"
 _add(
     "missing_dates",
     f"""select {_day('date')} from (select distinct l_shipdate::date as date from lineitem
@@ -275,8 +290,42 @@ where dayofweek(date) not in (0,6) and strftime(date,'%m-%d') not in ('01-01','0
 _add(
     "ready_dates",
     f"""select {_day('date')} from (
-  select l_shipdate::date as date from lineitem where l_shipdate::date>date '2001-06-01'
-  intersect select o_orderdate::date from orders where o_orderdate::date>date '2001-06-01')""",
+  select l_shipdate::date as date from lineitem where l_shipdate::date>date '1996-06-01'
+  intersect select o_orderdate::date from orders where o_orderdate::date>date '1996-05-01') where year(date)>=1997""",
+)
+_add(
+    "exchange_holidays",
+    f"""select distinct {_day('date')} from (
+  select unnest([
+    case dayofweek(make_date(y,1,1)) when 0 then make_date(y,1,2) else make_date(y,1,1) end,
+    case when y>=1998 then make_date(y,1,15)+((8-dayofweek(make_date(y,1,15)))%7)::int end,
+    make_date(y,2,15)+((8-dayofweek(make_date(y,2,15)))%7)::int,
+    g.friday,
+    make_date(y,5,25)+((8-dayofweek(make_date(y,5,25)))%7)::int,
+    case dayofweek(make_date(y,7,4)) when 0 then make_date(y,7,5) when 6 then make_date(y,7,3) else make_date(y,7,4) end,
+    make_date(y,9,1)+((8-dayofweek(make_date(y,9,1)))%7)::int,
+    make_date(y,11,22)+((11-dayofweek(make_date(y,11,22)))%7)::int,
+    case dayofweek(make_date(y,12,25)) when 0 then make_date(y,12,26) when 6 then make_date(y,12,24) else make_date(y,12,25) end
+  ]) as date
+  from (select unnest(generate_series((select year(min(l_shipdate)) from lineitem), (select year(max(l_shipdate)) from lineitem)))::int as y)
+  join (values (1991,date '1991-03-29'),(1992,date '1992-04-17'),(1993,date '1993-04-09'),(1994,date '1994-04-01'),(1995,date '1995-04-14'),
+    (1996,date '1996-04-05'),(1997,date '1997-03-28'),(1998,date '1998-04-10'),(1999,date '1999-04-02'),(2000,date '2000-04-21'),
+    (2001,date '2001-04-13'),(2002,date '2002-03-29'),(2003,date '2003-04-18'),(2004,date '2004-04-09')) g(year,friday) on g.year=y
+  union all select date '1994-04-27' where (select year(min(l_shipdate)) from lineitem)<=1994
+  union all select unnest([date '2001-09-11',date '2001-09-12',date '2001-09-13',date '2001-09-14'])
+    where (select year(max(l_shipdate)) from lineitem)>=2001)
+where date is not null""",
+)
+_add(
+    "trading_days",
+    f"""select {_day('date')} from (select unnest(generate_series((select min(l_shipdate)::date from lineitem),
+  (select max(l_shipdate)::date from lineitem), interval 1 day))::date as date)
+where dayofweek(date) not in (0,6) and strftime(date,'%m-%d') not in ('01-01','07-04','12-25')""",
+)
+_add(
+    "times_rejected",
+    """select event_id, case event_id%6 when 3 then strftime(date_trunc('day',ts),'%Y-%m-%d %H:%M:%S')
+  when 5 then strftime(date_trunc('minute',ts),'%Y-%m-%d %H:%M:%S') end as time from events""",
 )
 _add("split_check_dates", f"select ticker, {_day('date')} from check_dates", "check_dates")
 _add(
@@ -351,10 +400,106 @@ _add(
 _add(
     "table_stats",
     f"""select table_name, row_count, {_stamp('min_date')}, {_stamp('max_date')} from (
-  select 'stocks_raw' as table_name, count(*) as row_count, min(window_start) as min_date, max(window_start) as max_date from ticks
-  union all select t, count(*), min(window_start), max(window_start)
-    from (select distinct ticker, window_start from ticks), unnest(['stocks_adjusted','stocks_technical']) as u(t) group by t
+  select t as table_name, count(*) as row_count, min(window_start) as min_date, max(window_start) as max_date
+    from months, unnest(['stocks_raw','stocks_adjusted','stocks_technical']) as u(t) group by t
+  union all select 'splits', count(*), min(execution_date)::timestamp, max(execution_date)::timestamp from splits
   union all select 'options', count(*), min(window_start), max(window_start) from options
   union all select 'tickers', count(*), null, null from tickers)""",
-    "ticks", "options", "tickers",
+    "months", "splits", "options", "tickers",
+)
+
+_add("rebuild_adjusted", f"{_STORED} months_adjusted", "months_adjusted")
+_add(
+    "replace_ticker_adjusted",
+    f"{_STORED} (select * from months_adjusted where ticker<>'TKC' union all select *, 1.0 from months where ticker='TKC')",
+    "months_adjusted",
+)
+
+
+def _stored2(x: str, name: str) -> str:
+    return f"round(({x})::float::double+1e-5,2) as {name}"
+
+
+ORACLES["rebuild_technical"] = _wilder(
+    f"""select r.ticker, {_stamp('r.window_start', 'window_start')}, {_stored2('a.s20', 'sma_20')}, {_stored2('a.s50', 'sma_50')},
+  {_stored2('w.atr', 'atr')}, round(a.v20+1e-5,2) as volume_sma_20
+from ranges r left join wilder w on w.ticker=r.ticker and w.pos=r.pos-1
+join (select ticker, window_start, {_sma('close', 20)} as s20, {_sma('close', 50)} as s50,
+  {_sma('volume', 20)} as v20 from months_adjusted) a on a.ticker=r.ticker and a.window_start=r.window_start""",
+    "months_adjusted",
+)
+_add(
+    "scan_technical_range",
+    f"""select ticker, {_WHEN}, {_stored2('s', 'sma_20')} from (
+  select ticker, window_start, {_sma('close', 20)} as s from months_adjusted)
+where ticker='TKD' and window_start::date between date '1995-02-01' and date '1997-09-30'""",
+    "months_adjusted",
+)
+_add(
+    "sync_splits",
+    f"""select id, ticker, {_day("execution_date+case when ticker='TKB' then 2 else 0 end", 'execution_date')},
+  {_r6('split_factor')} from splits""",
+    "splits",
+)
+_add(
+    "scan_splits_range",
+    f"""select id, ticker, {_day('execution_date')}, {_r6('split_factor')} from splits
+where execution_date between date '1997-01-01' and date '1998-12-31'""",
+    "splits",
+)
+_add("scan_active_tickers", "select ticker, name, primary_exchange from tickers where active", "tickers")
+_add(
+    "views_sql",
+    """select ticker, count(*) as bar_count, count(*) filter (cumulative_factor<>1 and
+  (close*cumulative_factor)::float<>close::float) as adjusted_count
+from months_adjusted where ticker in (select ticker from splits) group by ticker""",
+    "months_adjusted", "splits",
+)
+_add(
+    "reload_source",
+    f"select ticker, {_WHEN}, volume+1 as volume, {_STORED4}, transactions from ticks where transactions%4<>0",
+    "ticks",
+)
+ORACLES["stream_after_batch"] = ORACLES["options_ingest"]
+_add("ingest_bad_values", f"{_STORED} ticks where transactions not in (7,8,9)", "ticks")
+_add(
+    "load_counters",
+    """select 'stocks' as kind, count(*) filter (transactions not in (7,8,9)) as good_rows,
+  count(*) filter (transactions in (7,8,9)) as bad_rows, 0::bigint as parse_errors from ticks
+union all select 'options', (select count(*) from options), 0, (select count(*) from options_raw)-(select count(*) from options)""",
+    "ticks", "options",
+)
+_add(
+    "gap_backfill",
+    f"""select {_day('d', 'date')}, count(*) as row_count from (select distinct ticker, window_start, window_start::date as d from ticks) t,
+  (select min(window_start)::date as a, max(window_start)::date as b from ticks)
+where day(d)%3<>0 or d in (a,b) or dayofweek(d) not in (0,6) group by d""",
+    "ticks",
+)
+_add("new_files", f"select distinct {_day('ts', 'date')} from events where day(ts)%2<>0")
+_add(
+    "feeds_roundtrip",
+    f"""select id, s.ticker, {_day('execution_date')}, split_from, split_to, listed from splits_raw s
+left join (select substr(ticker,1,3) as ticker, count(*) as listed from tickers_raw group by 1) t on t.ticker=s.ticker""",
+    "splits_raw", "tickers_raw",
+)
+_add(
+    "verify_sample",
+    """select count(distinct ticker) as tickers_checked, count(*) filter (found) as passed, 0::bigint as failed,
+  count(*) filter (not found) as errors from (
+  select d.ticker, exists(select 1 from months b where b.ticker=d.ticker and b.window_start::date=d.date) as found from (
+    select distinct ticker, execution_date+cast(d as int) as date from splits, lateral (select unnest([-30,-1,0,1]) as d)
+    where execution_date between date '1998-06-30'-700 and date '1998-06-30' and ticker in (
+      select ticker from (select distinct ticker from splits where execution_date between date '1998-06-30'-700 and date '1998-06-30')
+      order by md5(ticker||'#3'), ticker limit 4)) d)""",
+    "splits", "months",
+)
+_add(
+    "daily_update_report",
+    """select t as table_name, case when t='stocks_raw' then (select count(*) from ticks)
+  when t='splits' then (select count(*) from splits) when t='options' then (select count(*) from options)
+  when t='tickers' then (select count(*) from tickers)
+  else (select count(*) from (select distinct ticker, window_start from ticks)) end as row_count
+from unnest(['stocks_raw','stocks_adjusted','stocks_technical','splits','options','tickers']) as u(t)""",
+    "ticks", "splits", "options", "tickers",
 )

@@ -16,12 +16,13 @@ from barloom.functions.prices import pct_diff, split_label, strike_label
 from barloom.functions.symbols import option_underlying
 from barloom.functions.times import file_date, iso_to_ts, ms_to_ts, ns_to_ts, ns_to_ts_micros
 from barloom.jobs import rebuild
-from barloom.jobs.ingest import ingest_missing, rejected_rows
+from barloom.jobs.ingest import ingest_missing, load_dates, rejected_rows
+from barloom.jobs.update import Feeds, daily_update, fill_gaps, verify
 from barloom.operators import bars as bar_ops
 from barloom.operators import calendar, checks, options, splits, technical, tickers, validate
-from barloom.schemas import PRICES
+from barloom.schemas import PRICES, REFERENCE_PRICES
 from barloom.session import materialize, work_dir
-from barloom.sources import flatfiles
+from barloom.sources import feeds, flatfiles
 from barloom.sources.warehouse import Warehouse
 from barloom.streaming.ingest import ingest_stream
 from barloom.workload.fixtures import Fixtures
@@ -173,7 +174,7 @@ def replace_ticker_splits(fx: Fixtures) -> DataFrame:
 @query
 def sma_lagged(fx: Fixtures) -> DataFrame:
     return technical.technical_indicators(_adjusted_table(fx)).select(
-        "ticker", stamp("window_start"), r4("sma_20"), r4("sma_50"), r4("sma_200")
+        "ticker", stamp("window_start"), r6("sma_20"), r6("sma_50"), r6("sma_200")
     )
 
 
@@ -187,10 +188,23 @@ def volume_sma(fx: Fixtures) -> DataFrame:
 @query
 def atr_wilder(fx: Fixtures) -> DataFrame:
     return technical.technical_indicators(_adjusted_table(fx)).select(
-        "ticker", stamp("window_start"), r2("atr")
+        "ticker", stamp("window_start"), r6("atr")
     )
 
 
+@query
+def indicators_extreme(fx: Fixtures) -> DataFrame:
+    """Prices that jump between 1e12 and 1e-12 times their size, with null and infinite closes.
+
+    Logarithms show small and large averages to the same number of digits.
+    """
+    scale = F.when(F.quarter("window_start") % 2 == 0, 1e12).otherwise(1e-12)
+    close = F.when(F.col("volume") % 97 == 0, float("inf")).when(F.col("volume") % 89 != 0, F.col("close") * scale)
+    found = technical.technical_indicators(materialize(_bars(fx).withColumn("close", close), "extreme"))
+    sizes = [F.round(F.log10(c), 6).alias(c) for c in ("sma_20", "sma_50")]
+    return found.select("ticker", stamp("window_start"), *sizes)
+
+
 # -- options ------------------------------------------------------------------------------
 
 
@@ -316,8 +330,9 @@ def _holidays(fx: Fixtures) -> DataFrame:
 
 
 def _loaded(fx: Fixtures) -> DataFrame:
-    """Dates on which brand 1 has bars: a set with holes."""
-    return bar_ops.loaded_dates(_bars(fx).filter(F.col("ticker") == "TKA"))
+    """Dates that have bars, with holes on some days of the month."""
+    dates = bar_ops.loaded_dates(_bars(fx))
+    return dates.filter(~F.dayofmonth("date").isin(3, 11, 19, 27))
 
 
 @query
@@ -335,8 +350,34 @@ def trading_day_gaps(fx: Fixtures) -> DataFrame:
 def ready_dates(fx: Fixtures) -> DataFrame:
     stocks = fx.table("lineitem").select(F.to_date("l_shipdate").alias("date"))
     orders = fx.table("orders").select(F.to_date("o_orderdate").alias("date"))
-    limit = dt.date(2001, 6, 1)
-    return calendar.ready_dates(stocks, orders, limit, limit, 2000).select(day("date"))
+    stock_max, order_max = dt.date(1996, 6, 1), dt.date(1996, 5, 1)
+    return calendar.ready_dates(stocks, orders, stock_max, order_max, 1997).select(day("date"))
+
+
+@query
+def exchange_holidays(fx: Fixtures) -> DataFrame:
+    """Closures of the years that have line items, by the exchange's rules."""
+    years = fx.table("lineitem").agg(F.year(F.min("l_shipdate")).alias("a"), F.year(F.max("l_shipdate")).alias("b")).first()
+    return calendar.nyse_holidays(fx.spark, years.a, years.b).select(day("date"))
+
+
+@query
+def trading_days(fx: Fixtures) -> DataFrame:
+    """Days of the line items' years that are open under simple holidays."""
+    ends = fx.table("lineitem").agg(F.min(F.to_date("l_shipdate")).alias("a"), F.max(F.to_date("l_shipdate")).alias("b")).first()
+    return calendar.trading_days(fx.spark, ends.a, ends.b, _holidays(fx)).select(day("date"))
+
+
+@query
+def times_rejected(fx: Fixtures) -> DataFrame:
+    """Texts that look like times but are none, next to whole ones."""
+    k = F.col("event_id") % 6
+    text = (
+        F.when(k == 0, F.date_format("ts", "HH:mm:ss")).when(k == 1, F.date_format("ts", "yyyy"))
+        .when(k == 2, F.date_format("ts", "yyyy-MM")).when(k == 3, F.date_format("ts", "yyyy-MM-dd"))
+        .when(k == 4, F.date_format("ts", "'T'HH")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    )
+    return fx.table("events").select("event_id", F.date_format(iso_to_ts(text), "yyyy-MM-dd HH:mm:ss").alias("time"))
 
 
 @query
@@ -401,7 +442,8 @@ def _land(fx: Fixtures, landed: DataFrame, label: str) -> str:
     columns = ["ticker", "volume", *PRICES, "window_start", "transactions"]
     (
         landed.select(*columns, date.alias("trade_date"))
-        .repartition("trade_date")
+        # A date makes several files, as many tasks as it has parts.
+        .repartition("trade_date", F.pmod(F.xxhash64("ticker", "window_start"), F.lit(3)))
         .write.partitionBy("trade_date")
         .option("header", True)
         .option("compression", "gzip")
@@ -483,17 +525,184 @@ def scan_ticker_range(fx: Fixtures) -> DataFrame:
     return _shown_bars(_doubles(found), r4)
 
 
-@query
-def table_stats(fx: Fixtures) -> DataFrame:
-    """All tables built in a warehouse, then their statistics.
-
-    The feed's splits lie before the first raw bar, so there is no splits table.
-    """
+def _built(fx: Fixtures) -> Warehouse:
+    """A warehouse of bars with splits inside their range, adjusted."""
     wh = _warehouse(fx)
-    wh.write(bar_ops.typed_bars(fx.ticks_raw()), "stocks_raw", "append")
+    wh.write(fx.months(_bars(fx)), "stocks_raw", "append")
     rebuild.sync_splits(wh, fx.splits_raw())
     rebuild.recalculate_adjusted(wh)
+    return wh
+
+
+@query
+def table_stats(fx: Fixtures) -> DataFrame:
+    """All six tables built in a warehouse, then their statistics."""
+    wh = _built(fx)
     rebuild.recalculate_technical(wh)
     wh.write(_options(fx), "options", "append")
     rebuild.sync_tickers(wh, fx.tickers_raw())
     return wh.stats().select("table_name", "row_count", stamp("min_date"), stamp("max_date"))
+
+
+@query
+def rebuild_adjusted(fx: Fixtures) -> DataFrame:
+    return _shown_bars(_doubles(_built(fx).scan("stocks_adjusted")), r4)
+
+
+@query
+def rebuild_technical(fx: Fixtures) -> DataFrame:
+    wh = _built(fx)
+    rebuild.recalculate_technical(wh)
+    names = ("sma_20", "sma_50", "atr")
+    found = wh.scan("stocks_technical").withColumns({c: F.col(c).cast("double") for c in names})
+    return found.select("ticker", stamp("window_start"), *[r2(c) for c in names], r2("volume_sma_20"))
+
+
+@query
+def scan_technical_range(fx: Fixtures) -> DataFrame:
+    wh = _built(fx)
+    rebuild.recalculate_technical(wh)
+    found = wh.scan("stocks_technical", "TKD", dt.date(1995, 2, 1), dt.date(1997, 9, 30))
+    return found.withColumn("sma_20", F.col("sma_20").cast("double")).select("ticker", stamp("window_start"), r2("sma_20"))
+
+
+@query
+def sync_splits(fx: Fixtures) -> DataFrame:
+    """The splits since the first bar; then one ticker again from a later feed."""
+    wh = _built(fx)
+    feed = fx.splits_raw().withColumn("execution_date", F.date_add("execution_date", 2))
+    rebuild.sync_splits(wh, feed, "TKB")
+    return wh.scan("splits").select("id", "ticker", day("execution_date"), r6("split_factor"))
+
+
+@query
+def scan_splits_range(fx: Fixtures) -> DataFrame:
+    found = _built(fx).scan("splits", start=dt.date(1997, 1, 1), end=dt.date(1998, 12, 31))
+    return found.select("id", "ticker", day("execution_date"), r6("split_factor"))
+
+
+@query
+def replace_ticker_adjusted(fx: Fixtures) -> DataFrame:
+    """One ticker's adjusted bars rebuilt after its splits have gone."""
+    wh = _built(fx)
+    wh.write(wh.scan("splits").filter(F.col("ticker") != "TKC"), "splits", "overwrite")
+    rebuild.recalculate_adjusted(wh, ["TKC"])
+    return _shown_bars(_doubles(wh.scan("stocks_adjusted")), r4)
+
+
+@query
+def scan_active_tickers(fx: Fixtures) -> DataFrame:
+    wh = _warehouse(fx)
+    rebuild.sync_tickers(wh, fx.tickers_raw())
+    return wh.scan("tickers", active_only=True).select("ticker", "name", "primary_exchange")
+
+
+@query
+def views_sql(fx: Fixtures) -> DataFrame:
+    """SQL over the registered views of all tables."""
+    wh = _built(fx)
+    wh.register_views()
+    return fx.spark.sql(
+        """select r.ticker, count(*) as bar_count, count_if(r.close <> a.close) as adjusted_count
+        from stocks_raw r join stocks_adjusted a on a.ticker = r.ticker and a.window_start = r.window_start
+        where r.ticker in (select ticker from splits) group by r.ticker"""
+    )
+
+
+@query
+def reload_source(fx: Fixtures) -> DataFrame:
+    """Everything landed and loaded, then landed again without some rows and loaded again."""
+    wh, root = _warehouse(fx), _land(fx, fx.ticks_raw(), "landing")
+    load_dates(wh, "stocks", root)
+    corrected = fx.ticks_raw().filter(F.col("transactions") % 4 != 0).withColumn("volume", F.col("volume") + 1)
+    load_dates(wh, "stocks", _land(fx, corrected, "landing"))
+    return _shown_bars(_doubles(wh.scan("stocks_raw")), r4)
+
+
+@query
+def stream_after_batch(fx: Fixtures) -> DataFrame:
+    """Some dates by batch, all by stream, some again by batch: nothing twice."""
+    wh, root = _warehouse(fx), _land(fx, fx.options_raw(), "landing")
+    dates = [r.date for r in flatfiles.available_dates(fx.spark, root).toLocalIterator()]
+    load_dates(wh, "options", root, dates[::3])
+    ingest_stream(wh, "options", root, work_dir(fx.spark, "stream")).awaitTermination()
+    load_dates(wh, "options", root, dates[::2])
+    return _doubles(wh.scan("options")).select(
+        "ticker", "underlying_symbol", day("expiration_date"), "option_type",
+        stamp("window_start"), "volume", *[r4(p) for p in PRICES], "transactions",
+    )
+
+
+def _with_bad_counts(fx: Fixtures) -> DataFrame:
+    bad = F.when(F.col("transactions") == 7, "NaN").when(F.col("transactions") == 8, "1e300").when(F.col("transactions") == 9, "Infinity")
+    return fx.ticks_raw().withColumn("volume", F.coalesce(bad, F.col("volume").cast("string")))
+
+
+@query
+def ingest_bad_values(fx: Fixtures) -> DataFrame:
+    """Volumes that are no number of shares cost their row, not the load."""
+    wh, root = _warehouse(fx), _land(fx, _with_bad_counts(fx), "landing")
+    ingest_missing(wh, "stocks", root)
+    return _shown_bars(_doubles(wh.scan("stocks_raw")), r4)
+
+
+@query
+def load_counters(fx: Fixtures) -> DataFrame:
+    """What a load of good, bad and unparsable rows reports."""
+    wh = _warehouse(fx)
+    got = load_dates(wh, "stocks", _land(fx, _with_bad_counts(fx), "landing"))
+    more = load_dates(wh, "options", _land(fx, fx.options_raw(), "landing"))
+    rows = [("stocks", got["rows"], got["bad_rows"], got["parse_errors"]), ("options", more["rows"], more["bad_rows"], more["parse_errors"])]
+    return fx.spark.createDataFrame(rows, "kind string, good_rows long, bad_rows long, parse_errors long")
+
+
+@query
+def gap_backfill(fx: Fixtures) -> DataFrame:
+    """Weekdays left out of the first load and filled in; what the rebuilt table then holds per date."""
+    wh, root = _warehouse(fx), _land(fx, fx.ticks_raw(), "landing")
+    dates = [r.date for r in flatfiles.available_dates(fx.spark, root).toLocalIterator()]
+    load_dates(wh, "stocks", root, [d for d in dates if d.day % 3 or d in (dates[0], dates[-1])])
+    fill_gaps(wh, root, _holidays(fx))
+    return wh.scan("stocks_adjusted").groupBy(F.to_date("window_start").alias("date")).agg(F.count("*").alias("row_count")).select(day("date"), "row_count")
+
+
+@query
+def new_files(fx: Fixtures) -> DataFrame:
+    """Dates whose files came after an earlier listing."""
+    root = _land(fx, fx.ticks_raw(), "landing")
+    files = flatfiles.list_files(fx.spark, root)
+    seen = files.filter(F.dayofmonth(file_date(F.col("path"))) % 2 == 0)
+    return flatfiles.new_files(files, seen).select(file_date(F.col("path")).alias("date")).distinct().select(day("date"))
+
+
+@query
+def feeds_roundtrip(fx: Fixtures) -> DataFrame:
+    """Vendor extracts written as JSON lines and read back."""
+    root = work_dir(fx.spark, "feeds")
+    fx.splits_raw().write.json(f"{root}/splits")
+    fx.tickers_raw().write.json(f"{root}/tickers")
+    found = feeds.read_splits(fx.spark, f"{root}/splits").select("id", "ticker", day("execution_date"), "split_from", "split_to")
+    names = feeds.read_tickers(fx.spark, f"{root}/tickers")
+    return found.join(names.groupBy(F.substring("ticker", 1, 3).alias("ticker")).agg(F.count("*").alias("listed")), "ticker", "left")
+
+
+@query
+def verify_sample(fx: Fixtures) -> DataFrame:
+    """The check of a sample of tickers against a vendor series that agrees."""
+    wh = _built(fx)
+    adjusted = wh.scan("stocks_adjusted")
+    reference = adjusted.select("ticker", F.to_date("window_start").alias("date"), "close")
+    got = verify(wh, reference, n=4, days_back=700, seed=3, as_of=dt.date(1998, 6, 30))
+    return fx.spark.createDataFrame([(got["tickers_checked"], got["passed"], got["failed"], got["errors"])], "tickers_checked long, passed long, failed long, errors long")
+
+
+@query
+def daily_update_report(fx: Fixtures) -> DataFrame:
+    """The whole update on landed files, twice; the tables it reports."""
+    wh = _warehouse(fx)
+    stocks, contracts = _land(fx, fx.ticks_raw(), "landing"), _land(fx, fx.options_raw(), "landing")
+    none = fx.spark.createDataFrame([], REFERENCE_PRICES)
+    inputs = Feeds(stocks, contracts, fx.splits_raw().withColumn("execution_date", F.date_add("execution_date", 10000)), fx.tickers_raw(), none, _holidays(fx))
+    for _ in range(2):
+        report = daily_update(wh, inputs, as_of=dt.date(2024, 12, 31))
+    return fx.spark.createDataFrame(sorted(report["tables"].items()), "table_name string, row_count long")
