@@ -93,9 +93,9 @@ def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 def codewords(languages: int) -> np.ndarray:
     """Rows of +1 and -1, all different; complementary columns are left out."""
     if languages <= ALL_SPLITS:
-        splits = range(1, 1 << (languages - 1)) if languages > 1 else []
+        splits = range(1, 1 << (languages - 1)) if languages > 1 else ()
         bits = [[1 if k == 0 else (1 if not split >> (k - 1) & 1 else -1) for split in splits] for k in range(languages)]
-        return np.array(bits, np.float64).reshape(languages, -1)
+        return np.array(bits, np.float64).reshape(languages, len(splits))
     random = np.random.default_rng(languages)
     width = 10 * math.ceil(math.log2(languages))
     while True:
