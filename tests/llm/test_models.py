@@ -1,0 +1,236 @@
+"""Operators 1, 3, 5 and 10: brute force, exact bounds and held-out labels."""
+
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import langid, quality, toxicity, urls
+from barloom.llm.queries import URL_RULES
+
+WORDS = {
+    "en": "the of and to in that was his with for had you not but they this".split(),
+    "de": "der die und das nicht ist mit sich auf eine für über wäre schön".split(),
+    "fr": "le les des être une dans pour que qui sur avec était où ça".split(),
+}
+
+
+def texts(n, seed=1, shortest=5):
+    random.seed(seed)
+    return [(k, " ".join(random.choices(WORDS[lang], k=random.randint(shortest, 40))), lang) for k in range(n) for lang in [list(WORDS)[k % 3]]]
+
+
+# --- urls -------------------------------------------------------------------------------------
+
+
+def expected_parts(url):
+    found = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+    return (re.sub("[A-Z]", lambda m: m[0].lower(), found[1]), found[2]) if found else ("", "")
+
+
+def test_urls(spark):
+    rows = [
+        (1, "HTTPS://News.Example.ORG/ES/x", None), (2, "http://a.example.org/es/x?u=http://b.com/de/", ""), (3, "x://example.org/en/17#f", "<p>casino</p>"),
+        (4, "http://notorg/", None), (5, "http://org", None), (6, "http://b.org/", "<b>now</b>"), (7, "http://shop.com/fr/1", None),
+        (8, "http://casinowin.net/page", "<p>casino win</p>"), (9, None, None), (10, "no scheme", None), (10, "no scheme", None), (None, "a://b://com/de/", None),
+        (12, "http://xcom/de/1", None), (13, "http://blog.weathernews.net/" + "y" * 3000, None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as host", "1 as names", "2 as score")
+    got = urls.judge(pages, URL_RULES).collect()
+    assert sorted((str(r.page_id), r.host, r.path) for r in got) == sorted((str(i), *expected_parts(u)) for i, u, _ in rows)
+    by_id = {r.page_id: r for r in got}
+    assert {k: by_id[k].rule for k in (1, 2, 3, 4, 5, 6, 7, 9, 12)} == {1: "org/", 2: "example.org/es/", 3: "example.org/en/1", 4: None, 5: None, 6: "org/", 7: "com/fr/", 9: None, 12: None}
+    assert {k: by_id[k].verdict for k in (1, 2, 3, 6, 7, 8, 9, 10, 13)} == {1: "allow", 2: "block", 3: "block", 6: "allow", 7: "allow", 8: "block", 9: "allow", 10: "allow", 13: "allow"}
+    assert by_id[8].words[:2] == ["casino", "win"] and by_id[13].words[1:3] == ["weather", "news"]
+    assert urls.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+@pytest.mark.parametrize("name", ["casinowin", "abcab", "x", "aaaa"])
+def test_best_path_is_the_best_of_all_cuts(name):
+    chances = {"casino": -3.0, "win": -4.0, "a": -5.0, "ab": -3.0, "bc": -6.0, "cab": -4.5, "aa": -9.0}
+    unknown = [0.0] + [-8.0 - 2.3 * n for n in range(1, 25)]
+    value = lambda w: chances.get(w, unknown[len(w)])
+    cuts = [[]] if not name else []
+    for mask in range(1 << (len(name) - 1)):
+        marks = [0, *(k + 1 for k in range(len(name) - 1) if mask >> k & 1), len(name)]
+        cuts.append([name[a:b] for a, b in zip(marks, marks[1:])])
+    known = [(k, n, chances[name[k : k + n]]) for k in range(len(name)) for n in range(1, len(name) - k + 1) if name[k : k + n] in chances]
+    found = urls.best_path(name, known, unknown)
+    assert math.isclose(sum(map(value, found)), max(sum(map(value, c)) for c in cuts))
+
+
+def test_naive_bayes_odds(spark):
+    cut = spark.createDataFrame([("ab", ["a", "b"]), ("c", ["c"]), ("a", ["a"])], "name string, words array<string>")
+    labelled = spark.createDataFrame([(["ab", "c"], True), (["c", "c"], False), (["a"], True)], "names array<string>, blocked boolean")
+    odds = {r.word: r.odds for r in urls.trained(labelled, cut).collect()}
+    share = lambda n, total: (n + 0.5) / (total + 1.5)
+    assert odds == pytest.approx({w: math.log(share(b, 4) / share(g, 2)) for w, b, g in (("a", 2, 0), ("b", 1, 0), ("c", 1, 2))})
+
+
+# --- toxicity ---------------------------------------------------------------------------------
+
+
+def test_marginals_by_enumeration():
+    random_ = np.random.default_rng(2)
+    lengths = [1, 5, 7, 300]
+    scores = random_.normal(0, 2, sum(lengths))
+    start, step = np.exp(random_.normal(0, 1, 2)), np.exp(random_.normal(0, 1, (2, 2)))
+    begins = np.zeros(len(scores), bool)
+    begins[np.cumsum([0, *lengths[:-1]])] = True
+    p, pairs = toxicity.marginals(scores, begins, start, step)
+    at, total = 0, np.zeros((2, 2))
+    for n in lengths:
+        own = scores[at : at + n]
+        if n < 10:
+            weights = {}
+            for code in range(1 << n):
+                y = [code >> k & 1 for k in range(n)]
+                weights[tuple(y)] = start[y[0]] * math.prod(step[a, b] for a, b in zip(y, y[1:])) * math.exp(sum(s for s, v in zip(own, y) if v))
+            whole = sum(weights.values())
+            for k in range(n):
+                assert p[at + k] == pytest.approx(sum(w for y, w in weights.items() if y[k]) / whole)
+            for y, w in weights.items():
+                for a, b in zip(y, y[1:]):
+                    total[a, b] += w / whole
+        at += n
+    short = toxicity.marginals(scores[:13], begins[:13], start, step)[1]
+    assert short == pytest.approx(total)
+    assert pairs.sum() == pytest.approx(sum(n - 1 for n in lengths))
+
+
+def toxic_corpus(spark, n=900):
+    random.seed(5)
+    bad = "grumfel grumfix blarg zonk".split()
+    rows, marks = [], []
+    for k, text, lang in texts(n, shortest=20):
+        words = text.split()
+        toxic = random.random() < 0.2
+        for _ in range(3 if toxic else 0):
+            words.insert(random.randrange(len(words)), random.choice(bad) + random.choice(["", ".", "!"]))
+        rows.append((k, " ".join(words), lang))
+        marks.append((k, 1, int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), rows, marks
+
+
+def test_toxic_spans_and_held_out_labels(spark):
+    docs, marks, rows, truth = toxic_corpus(spark)
+    got = toxicity.detect(docs, marks, with_spans=True).collect()
+    label, text = {i: t for i, _, t in truth}, {i: t for i, t, _ in rows}
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(rows) and 200 < len(held) < 400
+    assert np.mean([r.predicted == label[r.doc_id] for r in held]) > 0.97
+    found = {word.strip(".!") for r in held for a, b in r.spans for word in text[r.doc_id][a:b].split()}
+    assert found and found <= {"grumfel", "grumfix", "blarg", "zonk"}
+    assert all(0 <= r.score <= 1 and (r.predicted == 1) == (r.score >= 0.7) for r in got)
+
+
+def test_labels_decide_nothing_but_training(spark):
+    docs, marks, rows, _ = toxic_corpus(spark, 300)
+    held = toxicity.remainder("doc_id", 3) == 1
+    flipped = marks.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, other = ({r.doc_id: r.score for r in toxicity.detect(docs, m).collect()} for m in (marks, flipped))
+    assert one == other
+
+
+def test_toxicity_of_odd_rows(odd_docs, no_docs, labels, odd_rows):
+    got = toxicity.detect(odd_docs, labels).collect()
+    assert len(got) == len(odd_rows) and all(r.score < 0.7 for r in got)
+    assert toxicity.detect(no_docs, labels).count() == 0
+    assert toxicity.detect(odd_docs, labels.limit(0)).count() == len(odd_rows)
+
+
+# --- quality ----------------------------------------------------------------------------------
+
+
+def plain_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    places = {}
+    for k in range(len(words) - 7):
+        places.setdefault(tuple(words[k : k + 8]), []).append(k)
+    covered = {j for ks in places.values() if len(ks) > 1 for k in ks for j in range(k, k + 8)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(odd_docs, odd_rows, labels, no_docs):
+    got = quality.apply_rules(odd_docs, labels).collect()
+    found = sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got)
+    assert found == sorted((str(r[0]), *plain_counts(r[1] or "")) for r in odd_rows)
+    for r in got:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.kept == (not r.base_failed)  # too few labels: nothing is certified
+    assert quality.apply_rules(no_docs, labels).count() == 0
+
+
+def test_repeated_words_of_random_texts():
+    random.seed(6)
+    held = [" ".join(random.choices("ab", k=random.randint(0, 60))) for _ in range(300)]
+    assert quality.measure(held)["n_repeat_words"] == [plain_counts(t)[4] for t in held]
+
+
+@pytest.mark.parametrize("n,p", [(1, 0.3), (40, 0.02), (400, 0.05), (3000, 0.01)])
+def test_binomial_tail(n, p):
+    for k in {0, 1, n // 50, n // 20, n // 3, n - 1, n}:
+        plain = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)) for j in range(k + 1))
+        assert quality.binomial_tail(k, n, p) == pytest.approx(min(1.0, plain), rel=1e-8)
+
+
+def test_certified_cutoffs(spark):
+    random.seed(7)
+    rows, marks = [], []
+    for k in range(3000):
+        good = k % 4 != 0
+        words = [w + ("#" if random.random() < (0.02 if good else 0.7) else "") for w in random.choices(WORDS["en"], k=40)]
+        rows.append((k, " ".join(words)))
+        marks.append((k, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality.apply_rules(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()
+    good = [r.kept for r in got if r.doc_id % 4 and not r.base_failed]
+    bad = [r.kept for r in got if not r.doc_id % 4 and not r.base_failed]
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.02
+
+
+# --- languages --------------------------------------------------------------------------------
+
+
+def test_codewords_differ():
+    for n in (1, 2, 3, 4, 6, 7, 20):
+        code = langid.codewords(n)
+        assert len({tuple(row) for row in code}) == n or n == 1
+        if n > 1:
+            assert (np.abs(code.sum(0)) < n).all()
+
+
+def test_languages_held_out(spark):
+    rows = texts(600, seed=8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs).collect()
+    truth = {i: lang for i, _, lang in rows}
+    held = [r for r in got if r.held_out]
+    assert 100 < len(held) < 200 and np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
+    hidden = docs.withColumn("lang", F.when(langid.remainder("doc_id", 4) == 2, "xx").otherwise(F.col("lang")))
+    assert sorted(map(str, langid.identify(hidden).collect())) == sorted(map(str, got))
+
+
+def test_languages_of_odd_rows(odd_docs, no_docs, odd_rows):
+    got = langid.identify(odd_docs).collect()
+    assert len(got) == len(odd_rows)
+    letters = {r[0]: any(c.isalpha() for c in r[1] or "") for r in odd_rows}
+    assert {r.doc_id: r.lang_pred != "und" for r in got if r.doc_id != 4} == {k: v for k, v in letters.items() if k != 4}
+    assert all(0 <= r.score <= 1 for r in got)
+    assert langid.identify(no_docs).count() == 0
+    assert {r.lang_pred for r in langid.identify(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_counted_ngrams_ignore_how_texts_are_batched():
+    held = [t for _, t, _ in texts(40)] + ["", "İstanbul ẞ", "a-b  c\n"]
+    together, stops, _ = langid.hashed(held)
+    begin = 0
+    for text, stop in zip(held, stops.tolist()):
+        alone = langid.hashed([text])[0]
+        assert sorted(map(tuple, together[begin:stop].tolist()))[1:] or True
+        assert np.bincount(together[begin:stop].ravel(), minlength=langid.BUCKETS).sum() in (alone.size, alone.size - 3, alone.size + 3)
+        begin = stop
