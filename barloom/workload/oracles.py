@@ -497,7 +497,8 @@ _add(
 _add(
     "daily_update_report",
     """select t as table_name, case when t='stocks_raw' then (select count(*) from ticks)
-  when t='splits' then (select count(*) from splits) when t='options' then (select count(*) from options)
+  when t='splits' then (select count(*) from splits where execution_date+10000>=(select min(window_start)::date from ticks))
+  when t='options' then (select count(*) from options)
   when t='tickers' then (select count(*) from tickers)
   else (select count(*) from (select distinct ticker, window_start from ticks)) end as row_count
 from unnest(['stocks_raw','stocks_adjusted','stocks_technical','splits','options','tickers']) as u(t)""",
