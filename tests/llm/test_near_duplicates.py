@@ -17,7 +17,8 @@ def groups(nodes, links):
 
     def find(n):
         while parent[n] != n:
-            n = parent[n] = parent[parent[n]]
+            parent[n] = parent[parent[n]]
+            n = parent[n]
         return n
 
     for a, b in links:
