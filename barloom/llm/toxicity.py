@@ -24,7 +24,7 @@ from barloom.llm.common import WORD, by_text, remainder
 
 #: The training sample: so many toxic and other documents by hash of the id, of those with at most
 #: so many characters.
-TOXIC, OTHERS, SAMPLE_CHARS = 800, 3200, 8000
+TOXIC, OTHERS, SAMPLE_CHARS = 600, 2400, 8000
 BUCKETS = 1 << 18
 ROUNDS, RATE, DECAY = 40, 1.0, 1e-6
 #: A word marks tokens if so many toxic documents hold it, and so many times as large a share of
@@ -226,7 +226,7 @@ class Field:
         begins[np.cumsum(lengths) - lengths] = True
         ends = np.append(begins[1:], True)
         held = {w: features(w) for w in {w for t, _ in kept for w in t}}
-        own = np.array([held[w] for t, _ in kept for w in t])
+        own = np.array([held[w] for t, _ in kept for w in t], np.int32)
         marked = {w for w in held if not marking.isdisjoint(units(w))}
         truth = np.array([float(label and w in marked) for t, label in kept for w in t])
         # Outside a text there is no neighbour: a bucket beyond the others, never trained.
