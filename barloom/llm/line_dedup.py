@@ -1,16 +1,19 @@
 """Fuzzy line dedup in DataFrame operations alone (operator 7).
 
 Lines are normalised and equal ones grouped. Each distinct line gets a SimHash of its words; lines
-whose SimHashes differ in at most three bits agree in two of five blocks of bits, so each line is
-posted under every pair of blocks, and lines that share a posting are candidates. Candidates with an
-edit similarity of ``SIMILARITY`` or more are linked, and one occurrence of each connected group
-stays.
+whose SimHashes differ in at most three bits agree in three of six blocks of bits, so each line is
+posted under every three blocks, and lines that share a posting are candidates. Candidates with an
+edit similarity of ``SIMILARITY`` or more (edits of whole words) are linked, and one occurrence of
+each connected group stays.
 
 A posting list may hold a large share of all lines, so lists do not make pairs. In a first round
 every member is compared with the first of its list. In a second round only members of different
 groups need comparing: those outside the largest group of the list with the members of the other
 groups. That finds every link that still joins two groups, and a list whose members are mostly
 copies of one line costs as many comparisons as it has members and strays.
+
+Texts are not shuffled to be hashed: word counts add up per line, and the counts of a line that
+occurs several times grow alike, which leaves the majority of each bit as it is.
 """
 
 from __future__ import annotations
@@ -26,43 +29,67 @@ from barloom.session import materialize
 #: Lines of fewer words are left alone.
 MIN_WORDS = 5
 SIMILARITY = 0.8
+#: Marks that normalisation takes out.
+MARKS = r"""[.,;:!?"'()]+"""
 #: Widths of the blocks of bits.
-BLOCKS = (13, 13, 13, 13, 12)
-SHARED_BLOCKS = 2
+BLOCKS = (11, 11, 11, 11, 10, 10)
+SHARED_BLOCKS = 3
 #: Lines on a common posting whose SimHashes differ in more bits are no candidates.
-MOST_BITS = 12
+MOST_BITS = 8
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, runs of anything but letters and numbers as one space."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def normalised(text: Column) -> Column:
+    """Lower case, without the marks in ``MARKS``, single spaces; line breaks stay."""
+    bare = F.regexp_replace(F.lower(text), MARKS, "")
+    return F.regexp_replace(bare, r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]", " ")
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, pos, norm, k1, k2): lines with at least ``MIN_WORDS`` words; k1 and k2 stand for the
-    normalised line (128 bits of hash)."""
-    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("pos", "line"))
-    norm = lines.select("doc", "pos", normalised(F.col("line")).alias("norm"))
-    spaces = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit("")))
-    return norm.where(spaces >= MIN_WORDS - 1).select("doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
+    """(doc, pos, norm, size, k1, k2): lines with at least ``MIN_WORDS`` words; size is their number, k1
+    and k2 stand for the normalised line (128 bits of hash).
+
+    Whole texts are normalised before they are cut, below the generator, so that nothing that reads
+    a line later makes the planner normalise it again.
+    """
+    cut = F.split(normalised(F.col(f"`{text_col}`")), "\n")
+    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(cut).alias("pos", "line"))
+    norm = lines.select("doc", "pos", F.trim("line").alias("norm"))
+    spaces = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit("")))
+    sized = norm.withColumn("size", spaces + 1).where(F.col("size") >= MIN_WORDS)
+    return sized.select("doc", "pos", "norm", "size", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
 
 
 def sketches(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, its
-    length and its SimHash."""
-    unique = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"), F.first("norm").alias("norm"))
-    words = unique.select("k1", "k2", "first.doc", "first.pos", "times", F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"))
-    hashed = words.withColumn("h", F.xxhash64("word")).drop("word")
-    # The exchange by k1 and k2 still holds, so this is no further shuffle.
-    ones = [F.sum(F.shiftrightunsigned("h", bit).bitwiseAND(1)).alias(f"b{bit}") for bit in range(64)]
-    same = [F.min(c).alias(c) for c in ("doc", "pos", "times", "size")]
-    counted = hashed.groupBy("k1", "k2").agg(F.count("*").alias("n"), *same, *ones)
+    """(k1, k2, size, sim): the SimHash of every distinct line, from its distinct words: counted each
+    time, the frequent words of a language would make its long lines all alike."""
+    words = lines.select("k1", "k2", "size", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    hashed = words.select("k1", "k2", "size", F.xxhash64("word").alias("h"))
+    # Two counters of 32 bits in one sum: bits k and k + 32 of the hashes.
+    lanes = F.lit((1 << 32) + 1)
+    sums = [F.sum(F.shiftrightunsigned("h", bit).bitwiseAND(lanes)).alias(f"b{bit}") for bit in range(32)]
+    counted = hashed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("size").alias("size"), *sums)
     sim = F.lit(0).cast("long")
-    for bit in range(64):
-        sim = sim.bitwiseOR(F.shiftleft((2 * F.col(f"b{bit}") > F.col("n")).cast("long"), bit))
-    return counted.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "doc", "pos", "times", "size", sim.alias("sim"))
+    for bit in range(32):
+        for k, count in ((bit, F.col(f"b{bit}").bitwiseAND((1 << 32) - 1)), (bit + 32, F.shiftrightunsigned(f"b{bit}", 32))):
+            sim = sim.bitwiseOR(F.shiftleft((2 * count > F.col("n")).cast("long"), k))
+    return counted.select("k1", "k2", "size", sim.alias("sim"))
+
+
+def distinct_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, its
+    number of words and its SimHash."""
+    firsts = places.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"))
+    both = sketches(lines).join(firsts, ["k1", "k2"])
+    return both.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "size", "sim")
+
+
+def spelled(norm: Column) -> Column:
+    """The line with one character for each word (by hash, one of some 53,000), so that the edit
+    distance of characters is that of words."""
+    letters = F.transform(F.split(norm, " "), lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xD000)) + 0x100), 4, "0"))
+    return F.decode(F.unhex(F.array_join(letters, "")), "UTF-16BE")
 
 
 def posting_keys(sim: Column) -> Column:
@@ -74,7 +101,7 @@ def posting_keys(sim: Column) -> Column:
     for number, chosen in enumerate(combinations(range(len(BLOCKS)), SHARED_BLOCKS)):
         key = F.lit(number).cast("long")
         for k in chosen:
-            key = F.shiftleft(key, 13).bitwiseOR(blocks[k])
+            key = F.shiftleft(key, 11).bitwiseOR(blocks[k])
         keys.append(key)
     return F.array(*keys)
 
@@ -90,34 +117,42 @@ def pairs_worth(members: DataFrame, left: DataFrame, extra: Column | None = None
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, unique: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) of line numbers whose lines have the edit similarity."""
-    pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+def words_of(wanted: DataFrame, unique: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line, spelled) of the wanted line numbers."""
     need = materialize(unique.join(wanted, "line", "left_semi").select("line", "k1", "k2", "doc", "pos"), "need")
     # Of the lines only those whose place hashes like a wanted one go through the shuffle; the flags
     # are at most FLAGS numbers.
     flag = F.pmod(F.xxhash64("doc", "pos"), F.lit(FLAGS))
     flags = need.select(flag.alias("flag")).distinct()
     some = lines.withColumn("flag", flag).join(F.broadcast(flags), "flag", "left_semi").drop("flag")
-    texts = some.join(need, ["k1", "k2", "doc", "pos"]).groupBy("line").agg(F.first("norm").alias("norm"))
-    texts = materialize(texts, "texts")
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("norm").alias("na")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("norm").alias("nb")), "b"
-    )
+    norms = some.select("k1", "k2", "doc", "pos", "norm").join(need, ["k1", "k2", "doc", "pos"])
+    texts = norms.groupBy("line").agg(F.first("norm").alias("norm"))
+    return materialize(texts.select("line", spelled(F.col("norm")).alias("spelled")), "words")
+
+
+def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The pairs (a, b) of line numbers whose lines have the edit similarity."""
+    left = words.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
+    right = words.select(F.col("line").alias("b"), F.col("spelled").alias("nb"))
     most = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(length(na), length(nb)) + 1e-9D) as int)"
-    return both.where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
 
 
 def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, b): links between distinct lines that connect all that similar candidates connect."""
     postings = unique.select("line", "sim", "size", F.explode(posting_keys(F.col("sim"))).alias("key"))
     lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head")).where("members > 1")
-    shared = materialize(postings.join(lists, "key"), "postings")
+    lists = materialize(lists, "lists")
+    # Postings whose key hashes like no list's stay out of the shuffle.
+    flag = F.pmod(F.xxhash64("key"), F.lit(FLAGS))
+    flags = F.broadcast(lists.select(flag.alias("flag")).distinct())
+    some = postings.withColumn("flag", flag).join(flags, "flag", "left_semi").drop("flag")
+    shared = materialize(some.join(lists, "key"), "postings")
+    words = words_of(shared.select("line").distinct(), unique, lines)
     right = shared.select("key", F.col("line").alias("b"), F.col("sim").alias("sim_b"), F.col("size").alias("size_b"))
 
     heads = shared.where("line = head").select("key", F.col("line").alias("a"), F.col("sim").alias("sim_a"), F.col("size").alias("size_a"))
-    first = materialize(verified(pairs_worth(right, heads), unique, lines), "links")
+    first = materialize(verified(pairs_worth(right, heads), words), "links")
 
     # Lists of two are done. In longer ones, what is not of the list's largest group meets the rest.
     found = connected_components(first, "a", "b").select(F.col("node").alias("line"), "component")
@@ -129,20 +164,21 @@ def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
     mixed = grouped.join(largest, "key")
     strays = mixed.where("component != largest").select("key", F.col("line").alias("a"), F.col("sim").alias("sim_a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
     others = mixed.select("key", F.col("line").alias("b"), F.col("sim").alias("sim_b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
-    second = verified(pairs_worth(others, strays, F.col("component_a") != F.col("component_b")), unique, lines)
+    second = verified(pairs_worth(others, strays, F.col("component_a") != F.col("component_b")), words)
     return first.union(second)
 
 
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
-    unique = materialize(sketches(lines), "sketches")
+    places = materialize(lines.select("doc", "pos", "k1", "k2"), "places")
+    unique = materialize(distinct_lines(lines, places), "sketches")
     groups = connected_components(links(unique, lines), "a", "b").select(F.col("node").alias("line"), "component")
     classes = unique.join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
     classes = materialize(classes.select("k1", "k2", "doc", "pos", "times", "component"), "classes")
     kept = classes.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"), F.sum("times").alias("all_times")).where("all_times > 1")
     losing = classes.join(kept, "component").select("k1", "k2", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
     same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("pos") == F.col("kept_pos"))
-    return lines.select("doc", "pos", "k1", "k2").join(losing, ["k1", "k2"]).where(~same).select("doc", "pos", "kept_doc", "kept_pos")
+    return places.join(losing, ["k1", "k2"]).where(~same).select("doc", "pos", "kept_doc", "kept_pos")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
@@ -153,8 +189,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a text all of whose lines go becomes empty. Rows of one id count as one document: they lose the
     same line numbers. An empty table stays empty. ``counts`` adds n_lines and n_removed.
     """
-    lines = materialize(lines_of(docs, id_col, text_col), "lines")
-    gone = removed_lines(lines).groupBy("doc").agg(F.collect_set("pos").alias("gone"))  # at most a document's lines
+    gone = removed_lines(lines_of(docs, id_col, text_col)).groupBy("doc").agg(F.collect_set("pos").alias("gone"))  # at most a document's lines
     gone = materialize(gone.select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone")), "gone")
     # Documents that cannot lose a line do not go through the join's shuffle.
     flag = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(FLAGS))
@@ -168,6 +203,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = F.filter(F.split(text, "\n"), lambda line, pos: ~F.array_contains("__gone", pos))
     out = both.withColumn("__text", F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(left, "\n")))
     if counts:
-        out = out.withColumn("n_lines", F.coalesce(F.size(F.split(text, "\n")), F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)))
+        breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+        out = out.withColumn("n_lines", F.coalesce(breaks + 1, F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)))
     order = list(dict.fromkeys([*docs.columns, *(["n_lines", "n_removed"] if counts else [])]))
     return out.select(*[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in order])
