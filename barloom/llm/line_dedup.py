@@ -1,24 +1,26 @@
 """Fuzzy line dedup in DataFrame operations alone (operator 7).
 
-Lines are normalised and equal ones grouped. Each distinct line gets a SimHash of its words; lines
-whose SimHashes differ in at most three bits agree in three of six blocks of bits, so each line is
-posted under every three blocks, and lines that share a posting are candidates. Candidates with an
-edit similarity of ``SIMILARITY`` or more (edits of whole words) are linked, and one occurrence of
-each connected group stays.
+Lines are normalised and equal ones grouped. Lines whose edit similarity (edits of whole words) is
+``SIMILARITY`` or more are linked, and one occurrence of each connected group stays.
+
+No linked pair is missed. Lines within e edits, the longer of M words, share M - 2 - 3e runs of three
+words. So, in one order of all runs, both have a common run among their first ones: a line's
+runs, less the number that any such pair shares, plus one. A line is posted under these; the order
+puts runs that are frequent in a sample last, which shortens lists and changes no result. Two lines
+of five words may share no run: they are posted under each four of their words. Lines that share a
+posting are candidates if their lengths allow it and the parities of their words, 64 bits of which
+an edit moves two at most, do not rule it out.
 
 A posting list may hold a large share of all lines, so lists do not make pairs. In a first round
 every member is compared with the first of its list. In a second round only members of different
 groups need comparing: those outside the largest group of the list with the members of the other
 groups. That finds every link that still joins two groups, and a list whose members are mostly
 copies of one line costs as many comparisons as it has members and strays.
-
-Texts are not shuffled to be hashed: word counts add up per line, and the counts of a line that
-occurs several times grow alike, which leaves the majority of each bit as it is.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +33,15 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Marks that normalisation takes out.
 MARKS = r"""[.,;:!?"'()]+"""
-#: Widths of the blocks of bits.
+#: Conditions on SimHash blocks and bits besides the similarity: none (no shared block is asked for,
+#: all bits may differ).
 BLOCKS = (11, 11, 11, 11, 10, 10)
-SHARED_BLOCKS = 3
-#: Lines on a common posting whose SimHashes differ in more bits are no candidates.
-MOST_BITS = 8
+SHARED_BLOCKS = 0
+MOST_BITS = 64
+#: Runs of words counted as frequent, from one in ``SAMPLE`` lines, and bits that mark them.
+FREQUENT = 4096
+SAMPLE = 16
+MARKED_BITS = 1 << 18
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 
@@ -61,28 +67,13 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return sized.select("doc", "pos", "norm", "size", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
 
 
-def sketches(lines: DataFrame) -> DataFrame:
-    """(k1, k2, size, sim): the SimHash of every distinct line, from its distinct words: counted each
-    time, the frequent words of a language would make its long lines all alike."""
-    words = lines.select("k1", "k2", "size", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    hashed = words.select("k1", "k2", "size", F.xxhash64("word").alias("h"))
-    # Two counters of 32 bits in one sum: bits k and k + 32 of the hashes.
-    lanes = F.lit((1 << 32) + 1)
-    sums = [F.sum(F.shiftrightunsigned("h", bit).bitwiseAND(lanes)).alias(f"b{bit}") for bit in range(32)]
-    counted = hashed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("size").alias("size"), *sums)
-    sim = F.lit(0).cast("long")
-    for bit in range(32):
-        for k, count in ((bit, F.col(f"b{bit}").bitwiseAND((1 << 32) - 1)), (bit + 32, F.shiftrightunsigned(f"b{bit}", 32))):
-            sim = sim.bitwiseOR(F.shiftleft((2 * count > F.col("n")).cast("long"), k))
-    return counted.select("k1", "k2", "size", sim.alias("sim"))
-
-
-def distinct_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
+def distinct_lines(lines: DataFrame) -> DataFrame:
     """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, its
-    number of words and its SimHash."""
-    firsts = places.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"))
-    both = sketches(lines).join(firsts, ["k1", "k2"])
-    return both.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "size", "sim")
+    number of words and its text."""
+    firsts = lines.groupBy("k1", "k2").agg(
+        F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"), F.max("size").alias("size"), F.first("norm").alias("norm")
+    )
+    return firsts.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "size", "norm")
 
 
 def spelled(norm: Column) -> Column:
@@ -92,44 +83,53 @@ def spelled(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(letters, "")), "UTF-16BE")
 
 
-def posting_keys(sim: Column) -> Column:
-    blocks, at = [], 0
-    for width in BLOCKS:
-        blocks.append(F.shiftrightunsigned(sim, at).bitwiseAND((1 << width) - 1))
-        at += width
-    keys = []
-    for number, chosen in enumerate(combinations(range(len(BLOCKS)), SHARED_BLOCKS)):
-        key = F.lit(number).cast("long")
-        for k in chosen:
-            key = F.shiftleft(key, 11).bitwiseOR(blocks[k])
-        keys.append(key)
-    return F.array(*keys)
+def runs(hashes: str, size: str) -> Column:
+    """Hashes of a line's runs of three words, from those of its words."""
+    return F.expr(f"transform(sequence(0, {size} - 3), i -> xxhash64({hashes}[i], {hashes}[i + 1], {hashes}[i + 2]))")
+
+
+def frequent_bits(hashed: DataFrame) -> Column:
+    """An array of longs whose bits mark runs that are frequent in a sample. ``hashed``: k1, size, words."""
+    some = hashed.where(F.pmod("k1", F.lit(SAMPLE)) == 0).select(F.explode(F.array_distinct(runs("words", "size"))).alias("h"))
+    often = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT)
+    marked = [0] * (MARKED_BITS // 64)
+    for row in often.select(F.pmod("h", F.lit(MARKED_BITS)).cast("int").alias("bit")).collect():  # at most FREQUENT
+        marked[row.bit // 64] |= 1 << row.bit % 64
+    signed = ",".join(str(m - (1 << 64) if m >> 63 else m) for m in marked)
+    return F.expr(f"cast(split('{signed}', ',') as array<bigint>)")
+
+
+def posted(unique: DataFrame) -> DataFrame:
+    """(key, line, size, sig): the postings of every distinct line and the parities of its words."""
+    hashed = unique.select("line", "k1", "size", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
+    marked = frequent_bits(hashed)
+
+    def placed(h: Column) -> Column:
+        bit = F.pmod(h, F.lit(MARKED_BITS)).cast("int")
+        held = F.getbit(F.element_at(marked, F.shiftright(bit, 6) + 1), bit.bitwiseAND(63))
+        return h.bitwiseAND((1 << 62) - 1).bitwiseOR(F.shiftleft(held.cast("long"), 62))
+
+    sig = F.expr("aggregate(words, 0L, (held, w) -> held ^ shiftleft(1L, cast(w & 63 as int)))")
+    ordered = hashed.select("line", "size", sig.alias("sig"), "words", F.sort_array(F.transform(runs("words", "size"), placed)).alias("runs"))
+    # Runs that any two linked lines share, this one the shorter or the longer.
+    shared = F.expr("greatest(1, least(size - 2 - 3 * (size div 5), 2 * ((size + 4) div 5) - 2))")
+    first = F.array_distinct(F.slice("runs", F.lit(1), (F.col("size") - 1 - shared).cast("int")))
+    fours = F.expr("transform(sequence(0, 4), i -> xxhash64(i, filter(words, (w, k) -> k != i)))")
+    keys = F.when(F.col("size") == 5, F.concat(first, fours)).otherwise(first)
+    return ordered.select(F.explode(keys).alias("key"), "line", "size", "sig")
 
 
 def pairs_worth(members: DataFrame, left: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Pairs (a, b) of lines on a common posting that may be similar. ``left``: key, a, sim_a, size_a
-    and what ``extra`` needs; ``members``: key, b, sim_b, size_b, likewise."""
-    differ = F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b")))
+    """Pairs (a, b) of lines on a common posting that may be similar. ``left``: key, a, sig_a, size_a
+    and what ``extra`` needs; ``members``: key, b, sig_b, size_b, likewise."""
+    differ = F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b")))
     shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    pairs = left.join(members, "key").where((F.col("a") != F.col("b")) & (differ <= MOST_BITS) & (shorter >= SIMILARITY * longer))
+    pairs = left.join(members, "key").where((F.col("a") != F.col("b")) & (5 * shorter >= 4 * longer) & (differ <= 2 * F.floor(longer / 5)))
     if extra is not None:
         pairs = pairs.where(extra)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def words_of(wanted: DataFrame, unique: DataFrame, lines: DataFrame) -> DataFrame:
-    """(line, spelled) of the wanted line numbers."""
-    need = materialize(unique.join(wanted, "line", "left_semi").select("line", "k1", "k2", "doc", "pos"), "need")
-    # Of the lines only those whose place hashes like a wanted one go through the shuffle; the flags
-    # are at most FLAGS numbers.
-    flag = F.pmod(F.xxhash64("doc", "pos"), F.lit(FLAGS))
-    flags = need.select(flag.alias("flag")).distinct()
-    some = lines.withColumn("flag", flag).join(F.broadcast(flags), "flag", "left_semi").drop("flag")
-    norms = some.select("k1", "k2", "doc", "pos", "norm").join(need, ["k1", "k2", "doc", "pos"])
-    texts = norms.groupBy("line").agg(F.first("norm").alias("norm"))
-    return materialize(texts.select("line", spelled(F.col("norm")).alias("spelled")), "words")
-
-
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (a, b) of line numbers whose lines have the edit similarity."""
     left = words.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
@@ -138,47 +138,47 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
 
 
-def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
-    """(a, b): links between distinct lines that connect all that similar candidates connect."""
-    postings = unique.select("line", "sim", "size", F.explode(posting_keys(F.col("sim"))).alias("key"))
+def links(unique: DataFrame) -> DataFrame:
+    """(a, b): links between distinct lines that connect all that similar lines connect."""
+    words = unique.select("line", spelled(F.col("norm")).alias("spelled"))
+    return linked(posted(unique), pairs_worth, lambda pairs: verified(pairs, words))
+
+
+def linked(postings: DataFrame, worth: Callable[..., DataFrame], check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Both rounds over ``postings`` (key, line, size, sig): pairs that ``worth`` finds and ``check`` keeps."""
+    postings = materialize(postings, "posted")
     lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head")).where("members > 1")
     lists = materialize(lists, "lists")
-    # Postings whose key hashes like no list's stay out of the shuffle.
-    flag = F.pmod(F.xxhash64("key"), F.lit(FLAGS))
-    flags = F.broadcast(lists.select(flag.alias("flag")).distinct())
-    some = postings.withColumn("flag", flag).join(flags, "flag", "left_semi").drop("flag")
-    shared = materialize(some.join(lists, "key"), "postings")
-    words = words_of(shared.select("line").distinct(), unique, lines)
-    right = shared.select("key", F.col("line").alias("b"), F.col("sim").alias("sim_b"), F.col("size").alias("size_b"))
+    shared = materialize(postings.join(lists, "key"), "postings")
+    right = shared.select("key", F.col("line").alias("b"), F.col("sig").alias("sig_b"), F.col("size").alias("size_b"))
 
-    heads = shared.where("line = head").select("key", F.col("line").alias("a"), F.col("sim").alias("sim_a"), F.col("size").alias("size_a"))
-    first = materialize(verified(pairs_worth(right, heads), words), "links")
+    heads = shared.where("line = head").select("key", F.col("line").alias("a"), F.col("sig").alias("sig_a"), F.col("size").alias("size_a"))
+    first = materialize(check(worth(right, heads)), "links")
 
     # Lists of two are done. In longer ones, what is not of the list's largest group meets the rest.
     found = connected_components(first, "a", "b").select(F.col("node").alias("line"), "component")
     grouped = shared.where("members > 2").join(found, "line", "left").withColumn("component", F.coalesce("component", "line"))
-    grouped = materialize(grouped.select("key", "line", "sim", "size", "component"), "grouped")
+    grouped = materialize(grouped.select("key", "line", "sig", "size", "component"), "grouped")
     sizes = grouped.groupBy("key", "component").count()
     largest = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
     largest = materialize(largest.select("key", F.col("most.component").alias("largest")), "largest")
     mixed = grouped.join(largest, "key")
-    strays = mixed.where("component != largest").select("key", F.col("line").alias("a"), F.col("sim").alias("sim_a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
-    others = mixed.select("key", F.col("line").alias("b"), F.col("sim").alias("sim_b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
-    second = verified(pairs_worth(others, strays, F.col("component_a") != F.col("component_b")), words)
+    strays = mixed.where("component != largest").select("key", F.col("line").alias("a"), F.col("sig").alias("sig_a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
+    others = mixed.select("key", F.col("line").alias("b"), F.col("sig").alias("sig_b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
+    second = check(worth(others, strays, F.col("component_a") != F.col("component_b")))
     return first.union(second)
 
 
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
-    places = materialize(lines.select("doc", "pos", "k1", "k2"), "places")
-    unique = materialize(distinct_lines(lines, places), "sketches")
-    groups = connected_components(links(unique, lines), "a", "b").select(F.col("node").alias("line"), "component")
-    classes = unique.join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
+    unique = materialize(distinct_lines(lines), "distinct")
+    groups = connected_components(links(unique), "a", "b").select(F.col("node").alias("line"), "component")
+    classes = unique.drop("norm").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
     classes = materialize(classes.select("k1", "k2", "doc", "pos", "times", "component"), "classes")
     kept = classes.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"), F.sum("times").alias("all_times")).where("all_times > 1")
     losing = classes.join(kept, "component").select("k1", "k2", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
     same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("pos") == F.col("kept_pos"))
-    return places.join(losing, ["k1", "k2"]).where(~same).select("doc", "pos", "kept_doc", "kept_pos")
+    return lines.select("doc", "pos", "k1", "k2").join(losing, ["k1", "k2"]).where(~same).select("doc", "pos", "kept_doc", "kept_pos")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
