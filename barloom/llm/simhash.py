@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm import near_documents
 from barloom.llm.common import by_text
 from barloom.llm.components import connected_components
 from barloom.session import materialize
@@ -107,10 +108,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """The rows of one document of each component, that of the smallest id, columns as they were.
+    """The rows of one document of each group of near-duplicates, that of the smallest id, columns as
+    they were. Near-duplicates are texts whose shingles have a Jaccard similarity of 0.8 or more;
+    ``DISTANCE`` has no part in it.
 
     Of repeated rows with that id one stays. Rows without id stay.
     """
-    found = components(docs, id_col, text_col, shingle).select(F.col(f"`{id_col}`").alias("__id"), "component_id")
-    dropped = found.where(F.col("__id") != F.col("component_id")).select("__id").distinct()
-    return docs.join(dropped, docs[id_col] == dropped["__id"], "left_anti")
+    return near_documents.keep_first(docs, id_col, text_col, shingle)

@@ -1,0 +1,45 @@
+"""The near-duplicate stage against the similarity alone, over all pairs."""
+
+from barloom.llm import simhash
+from barloom.llm.queries import table
+
+
+def plain_sets(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or {tuple(words)}
+
+
+def test_documents_of_the_stage_against_all_pairs(spark):
+    """sf0.01 as given: every pair of five-word Jaccard 0.8 or more is linked, and no other."""
+    rows = [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()]
+    sets = {i: plain_sets(t) for i, t in rows}
+    where = {}
+    for i, held in sets.items():
+        for s in held:
+            where.setdefault(s, []).append(i)
+    meet = {(a, b) for ids in where.values() for a in ids for b in ids if a < b}
+    true = [(a, b) for a, b in meet if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert sum(sets[a] != sets[b] for a, b in true) >= 10
+    first = {i: i for i in sets}
+
+    def find(i):
+        while first[i] != i:
+            i = first[i]
+        return i
+
+    for a, b in true:
+        a, b = find(a), find(b)
+        first[max(a, b)] = min(a, b)
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in sets if find(i) == i)
+
+
+def test_rows_that_the_stage_keeps(spark):
+    """Repeated rows of the kept id count once; another text of that id is judged for itself."""
+    base = " ".join(f"w{k}" for k in range(100))
+    near = base.replace("w50", "x")
+    rows = [(1, base)] * 3 + [(1, "quite another text of the same id"), (2, near), (3, near), (3, "a third text that has one more"), (None, base), (None, base)]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(
+        [("1", base), ("1", "quite another text of the same id"), ("3", "a third text that has one more"), ("None", base), ("None", base)]
+    )
