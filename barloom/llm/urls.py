@@ -27,26 +27,33 @@ SMOOTHING = 0.5
 #: Log odds from which a URL is blocked: unknown words alone never reach it.
 THRESHOLD = 1.0
 
-#: Labelled names that the query learns from, (site, page); another table of (url, blocked) may be
-#: passed. Every list takes the same frames in turn, so what is around the names says nothing.
+#: General vocabulary that the query learns from, a line for each subject; another table of
+#: (url, blocked) may be passed. Labelled URLs are three neighbouring words of a line each.
 BLOCKED = (
-    ("casino", "win"), ("casino-bets", "spin"), ("win-casino", "bonus"), ("free-casino", "slots"),
-    ("bets", "odds"), ("free-bets", "win"), ("sports-bets", "bonus"), ("poker-win", "jackpot"),
-    ("pills", "cheap"), ("cheap-pills", "buy"), ("buy-cheap-viagra", "pills"), ("pharma-pills", "discount"),
-    ("adult", "video"), ("adult-x", "cams"), ("xxx-adult", "porn"), ("free-porn", "adult"),
-    ("spam", "mail"), ("spam-farm", "links"), ("link-farm", "spam"), ("farm-links", "cheap"),
-    ("ads", "click"), ("ads-track", "banner"), ("track", "ads"), ("banner-ads", "popup"),
-)
+    "casino poker roulette jackpot slots blackjack baccarat betting bets wager gambling odds bookmaker lottery bingo dice spins win bonus",
+    "pills viagra cialis pharmacy tablets prescription steroids weight loss diet miracle cure cheap discount generic meds",
+    "porn adult sex nude xxx erotic escort webcam cams fetish hentai milf strip naked hot girls",
+    "spam phishing scam malware virus trojan hack crack keygen warez torrent pirate spoof botnet farm link backlinks",
+    "ads banner popup adserver tracker track clicks pixel affiliate sponsor retarget beacon analytics doubleclick free offer prize",
+)
 ALLOWED = (
-    ("library", "catalogue"), ("garden", "roses"), ("city-news", "council"), ("weather", "today"),
-    ("museum", "visit"), ("travel", "trips"), ("school", "lessons"), ("cooking", "recipes"),
-    ("science", "articles"), ("history", "archive"), ("software", "guide"), ("wiki", "page"),
-    ("music", "concerts"), ("books", "reviews"), ("football", "results"), ("health", "advice"),
-    ("university", "research"), ("nature", "birds"), ("photo", "gallery"), ("chess", "games"),
-    ("bank", "contact"), ("maps", "route"), ("theatre", "programme"), ("help", "index"),
-)
-FRAMES = ("www.{}.example.com/en/{}", "{}.example.net/de/{}.html", "m.{}.example.org/fr/{}", "blog.{}.example.com/es/{}")
-EXAMPLES = [(f"http://{FRAMES[k % 4].format(*pair)}", kind) for kind, pairs in ((True, BLOCKED), (False, ALLOWED)) for k, pair in enumerate(pairs)]
+    "library books reading author novel poetry essay chapter review archive catalogue journal press editor magazine stories",
+    "school lessons teacher student university college course lecture research science physics chemistry biology history maths study",
+    "weather news city council local today report radio forecast sports football tennis results league match team",
+    "garden roses flowers kitchen recipes cooking bread soup house home furniture paint tools repair craft wood",
+    "travel trips hotel train flight map route island mountain lake beach museum gallery theatre music concert",
+    "software guide manual help index wiki page forum code data system network computer phone photo video",
+    "health doctor hospital advice family children parents nature birds animals dogs horse bank insurance office contact",
+)
+FRAMES = ("http://{}-{}.test/{}", "https://{}.{}.test/{}.html")
+
+
+def labelled_urls(lines: tuple[str, ...]) -> list[str]:
+    lists = [line.split() for line in lines]
+    return [FRAMES[k % 2].format(*(words[(k + j) % len(words)] for j in range(3))) for words in lists for k in range(len(words))]
+
+
+EXAMPLES = [(url, kind) for kind, lines in ((True, BLOCKED), (False, ALLOWED)) for url in labelled_urls(lines)]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
