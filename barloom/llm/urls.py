@@ -21,8 +21,10 @@ from barloom.session import materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Longest word, in characters, that a name may hold.
 LONGEST = 24
-#: Times that each name of a labelled URL counts as a word of the model.
-TAUGHT = 50
+#: Share of the names of labelled URLs in the model of words, whatever the number of words on the pages.
+TAUGHT = 0.05
+#: Log probability of an unknown piece, without its letters; also apart from the size of the pages.
+UNKNOWN = math.log(1e-6)
 SMOOTHING = 0.5
 #: Log odds from which a URL is blocked: unknown words alone never reach it.
 THRESHOLD = 1.0
@@ -83,6 +85,14 @@ def words_of(html: Column) -> Column:
     return F.regexp_extract_all(F.lower(visible), F.lit(r"\p{L}+"), F.lit(0))
 
 
+def mixed(read: DataFrame, taught: DataFrame) -> DataFrame:
+    """(word, share): a mixture of two unigram models, of pages and of labelled names, of word and n each."""
+    total = lambda counts: max(1, counts.agg(F.sum("n")).first()[0] or 0)
+    shares = read.select("word", ((1 - TAUGHT) * F.col("n") / total(read)).alias("share"))
+    shares = shares.union(taught.select("word", (TAUGHT * F.col("n") / total(taught)).alias("share")))
+    return shares.groupBy("word").agg(F.sum("share").alias("share"))
+
+
 def best_path(name: str, known: list[tuple[int, int, float]], unknown: list[float]) -> list[str]:
     """Viterbi: the cut of ``name`` with the largest sum of log probabilities. ``known``: (begin, length,
     log probability) of the pieces that are words; other pieces cost by their length. Ties to the longer
@@ -104,19 +114,18 @@ def best_path(name: str, known: list[tuple[int, int, float]], unknown: list[floa
 
 
 def segmented(found: DataFrame, counts: DataFrame) -> DataFrame:
-    """(name, words) for every distinct name. ``counts``: word, n, distinct words.
+    """(name, words) for every distinct name. ``counts``: word, share, distinct words.
 
     Only substrings that are words come back from the join, so a name's list is bounded by its own
     length, and the words themselves need not fit in memory.
     """
     ship(found.sparkSession)
-    total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
-    unknown = [0.0] + [math.log(10 / total) - length * math.log(10) for length in range(1, LONGEST + 1)]
+    unknown = [0.0] + [UNKNOWN - length * math.log(10) for length in range(1, LONGEST + 1)]
     places = found.select("name", F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("begin"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("name") - F.col("begin")))
     pieces = places.select("name", "begin", F.explode(lengths).alias("length"))
     pieces = pieces.select("name", "begin", "length", F.substring("name", F.col("begin") + 1, F.col("length")).alias("word"))
-    known = pieces.join(counts, "word").select("name", F.struct("begin", "length", F.log(F.col("n") / total).alias("value")).alias("piece"))
+    known = pieces.join(counts, "word").select("name", F.struct("begin", "length", F.log("share").alias("value")).alias("piece"))
     known = known.groupBy("name").agg(F.collect_list("piece").alias("pieces"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +174,10 @@ def judge(
     # Pages with the same names share their score: it is worked out once for each set of names.
     sets = urls.select("names").distinct()
     distinct = sets.union(examples.select("names")).select(F.explode("names").alias("name")).distinct()
-    taught = examples.select(F.explode("names").alias("word"), F.lit(TAUGHT).cast("long").alias("n"))
+    taught = examples.select(F.explode("names").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     read = pages.select(F.explode(words_of(F.col(f"`{html_col}`"))).alias("word")).where(F.length("word") <= LONGEST)
-    counts = read.groupBy("word").agg(F.count("*").alias("n")).union(taught).groupBy("word").agg(F.sum("n").alias("n"))
-    cut = materialize(segmented(distinct, materialize(counts, "words")), "segments")
+    counts = mixed(materialize(read.groupBy("word").agg(F.count("*").alias("n")), "words"), taught)
+    cut = materialize(segmented(distinct, counts), "segments")
 
     odds = trained(examples, cut)
     scores = cut.select("name", "words", F.explode("words").alias("word")).join(odds, "word", "left")

@@ -35,3 +35,13 @@ def test_recall_on_names_and_words_held_out(spark):
     print("held-out names: bad recall, good kept:", names, "unseen words:", unseen)
     assert names[0] >= 0.8 and names[1] >= 0.95
     assert unseen[1] >= 0.95
+
+
+def test_cuts_do_not_change_with_the_size_of_the_pages(spark):
+    """A short name of two taught words, absent from the pages, among few and among 10^11 words."""
+    taught = spark.createDataFrame([("bets", 3), ("win", 3), ("other", 700)], "word string, n long")
+    names = spark.createDataFrame([("betswin",), ("winbets",)], "name string")
+    for n in (10, 10**6, 10**11):
+        read = spark.createDataFrame([("und", n), ("the", 2 * n)], "word string, n long")
+        got = {r.name: r.words for r in urls.segmented(names, urls.mixed(read, taught)).collect()}
+        assert got == {"betswin": ["bets", "win"], "winbets": ["win", "bets"]}
