@@ -85,3 +85,13 @@ def steps(texts: list[str], chars: int = STEP_CHARS) -> Iterator[tuple[int, int]
 def remainder(id_col: str, modulus: int) -> F.Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus
+
+
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """``wanted``, each with as many underscores as it takes to be no name of a column."""
+    out = []
+    for name in wanted:
+        while name in columns:
+            name += "_"
+        out.append(name)
+    return out

@@ -1,79 +1,94 @@
 """Fuzzy line dedup in DataFrame operations alone (operator 7).
 
-Lines are normalised and equal ones grouped. Lines whose edit similarity (edits of whole words) is
-``SIMILARITY`` or more are linked, and one occurrence of each connected group stays.
-
-No linked pair is missed. Lines within e edits, the longer of M words, share M - 2 - 3e runs of three
-words. So, in one order of all runs, both have a common run among their first ones: a line's
-runs, less the number that any such pair shares, plus one. A line is posted under these; the order
-puts runs that are frequent in a sample last, which shortens lists and changes no result. Two lines
-of five words may share no run: they are posted under each four of their words. Lines that share a
-posting are candidates if their lengths allow it and the parities of their words, 64 bits of which
-an edit moves two at most, do not rule it out.
-
-A posting list may hold a large share of all lines, so lists do not make pairs. In a first round
-every member is compared with the first of its list. In a second round only members of different
-groups need comparing: those outside the largest group of the list with the members of the other
-groups. That finds every link that still joins two groups, and a list whose members are mostly
-copies of one line costs as many comparisons as it has members and strays.
+Lines are normalised to words and equal ones grouped. The SimHash of a line has ``BLOCKS`` blocks of 64
+bits. The features of a block are ``FEATURES`` words of the line, each the first in an order of hashes
+of its own (words of ``LONG_WORD`` letters or more before shorter ones), and each of its bits is the
+majority of theirs. So an edit leaves a block alone unless it touches the few words that the block
+looks at, while these together still tell lines apart: lines that share a block, the pigeonholes, are
+candidates. Their edit similarity (edits of whole words) has to be ``SIMILARITY`` or more, and one
+occurrence of each connected group stays.
+
+A block may be common to a large share of all lines, so its list does not make pairs:
+
+1. every line of a list is compared with the list's first one;
+2. in lists whose lines are then still in different groups, lines of different groups are compared if
+   the list is short (``CROWDED``);
+3. lines of longer lists are posted again under their rarest words there. Lines within e edits lack at
+   most e of each other's words, so among the e + 1 rarest words of each there is a common one: no
+   pair is lost, and what a page template has in common brings nothing together. Steps 1 and 2
+   follow for these lists. In what is crowded even then, lines outside the largest group meet the
+   lines of all others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import free_names
 from barloom.llm.components import connected_components
 from barloom.session import materialize
 
-#: Lines of fewer words are left alone.
+#: Lines of fewer words are compared for equality alone.
 MIN_WORDS = 5
 SIMILARITY = 0.8
-#: Marks that normalisation takes out.
-MARKS = r"""[.,;:!?"'()]+"""
-#: Conditions on SimHash blocks and bits besides the similarity: none (no shared block is asked for,
-#: all bits may differ).
-BLOCKS = (11, 11, 11, 11, 10, 10)
-SHARED_BLOCKS = 0
-MOST_BITS = 64
-#: Runs of words counted as frequent, from one in ``SAMPLE`` lines, and bits that mark them.
-FREQUENT = 4096
-SAMPLE = 16
-MARKED_BITS = 1 << 18
+BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
+#: Lists up to this size are compared pair by pair.
+CROWDED = 64
+#: What separates words besides single spaces: other white space, these marks, several spaces.
+MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
+BETWEEN = rf"[{MARKS}]+| {{2,}}"
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 
 
-def normalised(text: Column) -> Column:
-    """Lower case, without the marks in ``MARKS``, single spaces; line breaks stay."""
-    bare = F.regexp_replace(F.lower(text), MARKS, "")
-    return F.regexp_replace(bare, r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]", " ")
-
-
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, pos, norm, size, k1, k2): lines with at least ``MIN_WORDS`` words; size is their number, k1
-    and k2 stand for the normalised line (128 bits of hash).
+    """(doc, pos, norm, k1, k2): the lines that hold a word, as words in lower case with single spaces
+    between them; k1 and k2 are 128 bits of hash of norm.
 
-    Whole texts are normalised before they are cut, below the generator, so that nothing that reads
-    a line later makes the planner normalise it again.
+    Whole texts are normalised below the generator, so that no later step makes the planner do it again.
     """
-    cut = F.split(normalised(F.col(f"`{text_col}`")), "\n")
-    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(cut).alias("pos", "line"))
-    norm = lines.select("doc", "pos", F.trim("line").alias("norm"))
-    spaces = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit("")))
-    sized = norm.withColumn("size", spaces + 1).where(F.col("size") >= MIN_WORDS)
-    return sized.select("doc", "pos", "norm", "size", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
+    bare = F.regexp_replace(F.lower(F.col(f"`{text_col}`")), BETWEEN, " ")
+    bare = F.regexp_replace(bare, " {2,}", " ")  # what marks next to spaces left
+    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(bare, "\n")).alias("pos", "line"))
+    norm = lines.select("doc", "pos", F.trim("line").alias("norm")).where(F.length("norm") > 0)
+    return norm.select("doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
+
+
+def turned(word: str, number: int) -> Column:
+    """A hash of the word that gives it its place in order ``number``: long words are negative."""
+    h, quarter = F.col(f"hash_{number // 4}"), 16 * (number % 4)
+    if quarter:
+        h = F.shiftleft(h, quarter).bitwiseOR(F.shiftrightunsigned(h, 64 - quarter))
+    return F.when(F.length(word) >= LONG_WORD, h.bitwiseOR(F.lit(-(1 << 63)))).otherwise(h.bitwiseAND(F.lit((1 << 63) - 1)))
+
+
+def majority(a: Column, b: Column, c: Column) -> Column:
+    return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, its
-    number of words and its text."""
-    firsts = lines.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"), F.max("size").alias("size"), F.first("norm").alias("norm")
-    )
-    return firsts.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "size", "norm")
+    """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, norm."""
+    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"), F.first("norm").alias("norm"))
+    return firsts.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "norm")
+
+
+def simhashes(unique: DataFrame) -> DataFrame:
+    """(line, size, blocks): number of words and SimHash of the lines of ``MIN_WORDS`` words or more."""
+    words = unique.select("line", F.explode(F.split("norm", " ")).alias("word"))
+    orders = range(BLOCKS * FEATURES)
+    words = words.select("*", *[F.xxhash64("word", F.lit(k)).alias(f"hash_{k}") for k in range(-(-len(orders) // 4))])
+    # A line's words are in one task, so each line is one row before the shuffle.
+    looked = words.groupBy("line").agg(F.count("*").cast("int").alias("size"), *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders])
+    blocks = [majority(*[F.col(f"first_{FEATURES * k + j}") for j in range(FEATURES)]) for k in range(BLOCKS)]
+    return looked.where(F.col("size") >= MIN_WORDS).select("line", "size", F.array(*blocks).alias("blocks"))
+
+
+def posted(unique: DataFrame) -> DataFrame:
+    """(key, line, size): lines under their blocks."""
+    held = materialize(simhashes(unique), "simhashes")
+    placed = held.select("line", "size", F.posexplode("blocks").alias("k", "block"))
+    return placed.select(F.xxhash64("k", "block").alias("key"), "line", "size")
 
 
 def spelled(norm: Column) -> Column:
@@ -83,90 +98,82 @@ def spelled(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(letters, "")), "UTF-16BE")
 
 
-def runs(hashes: str, size: str) -> Column:
-    """Hashes of a line's runs of three words, from those of its words."""
-    return F.expr(f"transform(sequence(0, {size} - 3), i -> xxhash64({hashes}[i], {hashes}[i + 1], {hashes}[i + 2]))")
-
-
-def frequent_bits(hashed: DataFrame) -> Column:
-    """An array of longs whose bits mark runs that are frequent in a sample. ``hashed``: k1, size, words."""
-    some = hashed.where(F.pmod("k1", F.lit(SAMPLE)) == 0).select(F.explode(F.array_distinct(runs("words", "size"))).alias("h"))
-    often = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT)
-    marked = [0] * (MARKED_BITS // 64)
-    for row in often.select(F.pmod("h", F.lit(MARKED_BITS)).cast("int").alias("bit")).collect():  # at most FREQUENT
-        marked[row.bit // 64] |= 1 << row.bit % 64
-    signed = ",".join(str(m - (1 << 64) if m >> 63 else m) for m in marked)
-    return F.expr(f"cast(split('{signed}', ',') as array<bigint>)")
-
-
-def posted(unique: DataFrame) -> DataFrame:
-    """(key, line, size, sig): the postings of every distinct line and the parities of its words."""
-    hashed = unique.select("line", "k1", "size", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
-    marked = frequent_bits(hashed)
-
-    def placed(h: Column) -> Column:
-        bit = F.pmod(h, F.lit(MARKED_BITS)).cast("int")
-        held = F.getbit(F.element_at(marked, F.shiftright(bit, 6) + 1), bit.bitwiseAND(63))
-        return h.bitwiseAND((1 << 62) - 1).bitwiseOR(F.shiftleft(held.cast("long"), 62))
-
-    sig = F.expr("aggregate(words, 0L, (held, w) -> held ^ shiftleft(1L, cast(w & 63 as int)))")
-    ordered = hashed.select("line", "size", sig.alias("sig"), "words", F.sort_array(F.transform(runs("words", "size"), placed)).alias("runs"))
-    # Runs that any two linked lines share, this one the shorter or the longer.
-    shared = F.expr("greatest(1, least(size - 2 - 3 * (size div 5), 2 * ((size + 4) div 5) - 2))")
-    first = F.array_distinct(F.slice("runs", F.lit(1), (F.col("size") - 1 - shared).cast("int")))
-    fours = F.expr("transform(sequence(0, 4), i -> xxhash64(i, filter(words, (w, k) -> k != i)))")
-    keys = F.when(F.col("size") == 5, F.concat(first, fours)).otherwise(first)
-    return ordered.select(F.explode(keys).alias("key"), "line", "size", "sig")
-
-
-def pairs_worth(members: DataFrame, left: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Pairs (a, b) of lines on a common posting that may be similar. ``left``: key, a, sig_a, size_a
-    and what ``extra`` needs; ``members``: key, b, sig_b, size_b, likewise."""
-    differ = F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b")))
-    shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    pairs = left.join(members, "key").where((F.col("a") != F.col("b")) & (5 * shorter >= 4 * longer) & (differ <= 2 * F.floor(longer / 5)))
-    if extra is not None:
-        pairs = pairs.where(extra)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, unique: DataFrame) -> DataFrame:
     """The pairs (a, b) of line numbers whose lines have the edit similarity."""
+    pairs = materialize(pairs.distinct(), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    words = materialize(unique.join(nodes, "line", "left_semi").select("line", spelled(F.col("norm")).alias("spelled")), "spelled")
     left = words.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
     right = words.select(F.col("line").alias("b"), F.col("spelled").alias("nb"))
     most = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(length(na), length(nb)) + 1e-9D) as int)"
     return pairs.join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
 
 
-def links(unique: DataFrame) -> DataFrame:
-    """(a, b): links between distinct lines that connect all that similar lines connect."""
-    words = unique.select("line", spelled(F.col("norm")).alias("spelled"))
-    return linked(posted(unique), pairs_worth, lambda pairs: verified(pairs, words))
+def fits(a: str, b: str) -> Column:
+    """Sizes that the similarity allows."""
+    return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
-def linked(postings: DataFrame, worth: Callable[..., DataFrame], check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Both rounds over ``postings`` (key, line, size, sig): pairs that ``worth`` finds and ``check`` keeps."""
-    postings = materialize(postings, "posted")
+def shared(postings: DataFrame) -> DataFrame:
+    """(key, line, size, members, head): the postings of lists with two lines or more."""
     lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head")).where("members > 1")
-    lists = materialize(lists, "lists")
-    shared = materialize(postings.join(lists, "key"), "postings")
-    right = shared.select("key", F.col("line").alias("b"), F.col("sig").alias("sig_b"), F.col("size").alias("size_b"))
-
-    heads = shared.where("line = head").select("key", F.col("line").alias("a"), F.col("sig").alias("sig_a"), F.col("size").alias("size_a"))
-    first = materialize(check(worth(right, heads)), "links")
-
-    # Lists of two are done. In longer ones, what is not of the list's largest group meets the rest.
-    found = connected_components(first, "a", "b").select(F.col("node").alias("line"), "component")
-    grouped = shared.where("members > 2").join(found, "line", "left").withColumn("component", F.coalesce("component", "line"))
-    grouped = materialize(grouped.select("key", "line", "sig", "size", "component"), "grouped")
-    sizes = grouped.groupBy("key", "component").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
-    largest = materialize(largest.select("key", F.col("most.component").alias("largest")), "largest")
-    mixed = grouped.join(largest, "key")
-    strays = mixed.where("component != largest").select("key", F.col("line").alias("a"), F.col("sig").alias("sig_a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
-    others = mixed.select("key", F.col("line").alias("b"), F.col("sig").alias("sig_b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
-    second = check(worth(others, strays, F.col("component_a") != F.col("component_b")))
-    return first.union(second)
+    return materialize(postings.join(materialize(lists, "lists"), "key"), "shared")
+
+
+def with_heads(held: DataFrame, unique: DataFrame) -> DataFrame:
+    """Links between the lines of lists and their first ones."""
+    return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b")), unique)
+
+
+def mixed(held: DataFrame, links: DataFrame) -> DataFrame:
+    """Lines of lists that hold different groups, with their ``component``. Lists of two are done."""
+    found = connected_components(links, "a", "b").select(F.col("node").alias("line"), "component")
+    grouped = held.where("members > 2").join(found, "line", "left").withColumn("component", F.coalesce("component", "line"))
+    grouped = materialize(grouped.select("key", "line", "size", "members", "component"), "grouped")
+    several = grouped.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return materialize(grouped.join(several.select("key"), "key", "left_semi"), "mixed")
+
+
+def across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of lines of one list and different groups."""
+    a = left.select("key", F.col("line").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("group_a"))
+    b = right.select("key", F.col("line").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("group_b"))
+    pairs = a.join(b, "key").where((F.col("group_a") != F.col("group_b")) & fits("size_a", "size_b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def rarest(crowd: DataFrame, unique: DataFrame) -> DataFrame:
+    """(key, line, size): lines of crowded lists, posted under their rarest words in the list."""
+    lines = crowd.select("line").distinct()
+    words = unique.join(lines, "line", "left_semi").select("line", F.array_distinct(F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))).alias("words"))
+    held = materialize(crowd.select("key", "line", "size").join(words, "line").select("key", "line", "size", F.explode("words").alias("word")), "words")
+    counts = held.groupBy("key", "word").agg(F.count("*").alias("n"))
+    order = F.sort_array(F.collect_list(F.struct("n", "word")))  # at most a line's words
+    ordered = held.join(counts, ["key", "word"]).groupBy("key", "line", "size").agg(order.alias("words"))
+    # A line similar to one of this size is at most a quarter longer.
+    first = F.slice("words", F.lit(1), F.call_function("div", F.col("size"), F.lit(4)).cast("int") + 1)
+    return ordered.select(F.explode(first).alias("held"), "key", "line", "size").select(F.xxhash64("key", "held.word").alias("key"), "line", "size")
+
+
+def links(unique: DataFrame) -> DataFrame:
+    """(a, b): links between distinct lines that connect all that similar lines on a common block do."""
+    held = shared(posted(unique))
+    found = materialize(with_heads(held, unique), "links")
+    open_ = mixed(held, found)
+    few = across(open_.where(F.col("members") <= CROWDED), open_)
+    found = materialize(found.union(verified(few, unique)), "links")
+    crowd = open_.where(F.col("members") > CROWDED)
+    if crowd.isEmpty():
+        return found
+    held = shared(rarest(crowd, unique))
+    found = materialize(found.union(with_heads(held, unique)), "links")
+    open_ = mixed(held, found)
+    few = across(open_.where(F.col("members") <= CROWDED), open_)
+    crowd = open_.where(F.col("members") > CROWDED)
+    sizes = crowd.groupBy("key", "component").count()
+    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("most")).select("key", F.col("most.component").alias("largest"))
+    strays = crowd.join(largest, "key").where("component != largest").drop("largest")
+    return materialize(found.union(verified(few.union(across(strays, crowd)), unique)), "links")
 
 
 def removed_lines(lines: DataFrame) -> DataFrame:
@@ -185,25 +192,26 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows with the lines that repeat elsewhere taken out of ``text``; other columns as they were.
 
     Of each group of similar lines the occurrence with the smallest id, then the smallest line number,
-    stays, wherever the others are. Lines of fewer than ``MIN_WORDS`` words stay. Null texts stay null,
-    a text all of whose lines go becomes empty. Rows of one id count as one document: they lose the
-    same line numbers. An empty table stays empty. ``counts`` adds n_lines and n_removed.
+    stays, wherever the others are. Lines of fewer than ``MIN_WORDS`` words are similar only if their
+    words are the same; lines without words stay. Null texts stay null, a text all of whose lines go
+    becomes empty. Rows of one id count as one document: they lose the same line numbers. An empty
+    table stays empty. ``counts`` adds n_lines and n_removed, in place of columns of these names.
     """
+    doc, at, flag, left_text = free_names(docs.columns, "__doc", "__gone", "__flag", "__text")
     gone = removed_lines(lines_of(docs, id_col, text_col)).groupBy("doc").agg(F.collect_set("pos").alias("gone"))  # at most a document's lines
-    gone = materialize(gone.select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone")), "gone")
+    gone = materialize(gone.select(F.col("doc").alias(doc), F.col("gone").alias(at)), "gone")
     # Documents that cannot lose a line do not go through the join's shuffle.
-    flag = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(FLAGS))
-    flags = F.broadcast(gone.select(F.pmod(F.xxhash64("__doc"), F.lit(FLAGS)).alias("__flag")).distinct())
-    flagged = docs.withColumn("__flag", flag)
-    whole = flagged.join(flags, "__flag", "left_anti").drop("__flag").withColumn("__gone", F.lit(None).cast("array<int>"))
-    some = flagged.join(flags, "__flag", "left_semi").drop("__flag")
-    some = some.join(gone, some[id_col].eqNullSafe(gone["__doc"]), "left").drop("__doc")
+    flags = F.broadcast(gone.select(F.pmod(F.xxhash64(doc), F.lit(FLAGS)).alias(flag)).distinct())
+    flagged = docs.withColumn(flag, F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(FLAGS)))
+    whole = flagged.join(flags, flag, "left_anti").drop(flag).withColumn(at, F.lit(None).cast("array<int>"))
+    some = flagged.join(flags, flag, "left_semi").drop(flag)
+    some = some.join(gone, some[id_col].eqNullSafe(gone[doc]), "left").drop(doc)
     both = whole.unionByName(some)
     text = F.col(f"`{text_col}`")
-    left = F.filter(F.split(text, "\n"), lambda line, pos: ~F.array_contains("__gone", pos))
-    out = both.withColumn("__text", F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(left, "\n")))
+    left = F.filter(F.split(text, "\n"), lambda line, pos: ~F.array_contains(at, pos))
+    out = both.withColumn(left_text, F.when(F.col(at).isNull(), text).otherwise(F.array_join(left, "\n")))
     if counts:
         breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
-        out = out.withColumn("n_lines", F.coalesce(breaks + 1, F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)))
+        out = out.withColumn("n_lines", F.coalesce(breaks + 1, F.lit(0))).withColumn("n_removed", F.coalesce(F.size(at), F.lit(0)))
     order = list(dict.fromkeys([*docs.columns, *(["n_lines", "n_removed"] if counts else [])]))
-    return out.select(*[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in order])
+    return out.select(*[F.col(left_text).alias(c) if c == text_col else F.col(f"`{c}`") for c in order])

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm import near_documents
-from barloom.llm.common import by_text
+from barloom.llm.common import by_text, free_names
 from barloom.llm.components import connected_components
 from barloom.session import materialize
 
@@ -87,6 +86,13 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def classes_of(firsts: DataFrame) -> DataFrame:
+    """(fp, first_id, component) for distinct fingerprints ``firsts`` (fp, first_id)."""
+    found = connected_components(links(firsts.select("fp")), "a", "b").withColumnRenamed("node", "fp")
+    named = firsts.join(found, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    return materialize(named, "named")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
     """Per row: the id (and ``keep``), fingerprint (16 hex digits), component_id.
 
@@ -97,21 +103,31 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     keep = [c for c in dict.fromkeys([id_col, *(keep or [])]) if c not in ("fingerprint", "component_id", "fp")]
     prints = materialize(fingerprints(docs, keep, text_col, shingle), "prints")
-    firsts = prints.groupBy("fp").agg(F.min(id_col).alias("first_id"))
-    found = connected_components(links(firsts.select("fp")), "a", "b").withColumnRenamed("node", "fp")
-    named = firsts.join(found, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    named = materialize(named, "named")
+    named = classes_of(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = named.join(smallest, "component").select("fp", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(classes, "fp").select(*[F.col(f"`{c}`") for c in keep], digits, "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """The rows of one document of each group of near-duplicates, that of the smallest id, columns as
-    they were. Near-duplicates are texts whose shingles have a Jaccard similarity of 0.8 or more;
-    ``DISTANCE`` has no part in it.
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """The rows of one document of each component, that of the smallest id, columns as they were.
 
-    Of repeated rows with that id one stays. Rows without id stay.
+    It is decided row by row: of repeated rows with that id one stays, and of different texts with that
+    id one. Rows without id stay. An empty table stays empty.
     """
-    return near_documents.keep_first(docs, id_col, text_col, shingle)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    own, k1, k2 = free_names(docs.columns, "own_id", "k1", "k2")
+    by = [own, k1, k2]  # a row, or copies of it
+    keyed = docs.select("*", F.col(f"`{id_col}`").alias(own), F.xxhash64(text).alias(k1), F.xxhash64(F.lit(7), text).alias(k2))
+    prints = fingerprints(keyed, by, text_col, shingle, "print_fp").toDF("own_id", "k1", "k2", "fp")
+    prints = materialize(prints.where("own_id is not null"), "prints")
+    named = classes_of(prints.groupBy("fp").agg(F.min("own_id").alias("first_id"))).select("fp", "component")
+    rows = materialize(prints.groupBy("own_id", "k1", "k2", "fp").count().join(named, "fp"), "rows")
+    winners = rows.groupBy("component").agg(F.min(F.struct("own_id", "k1", "k2")).alias("stays"))
+    judged = rows.join(winners, "component").select("own_id", "k1", "k2", "count", (F.struct("own_id", "k1", "k2") == F.col("stays")).alias("kept"))
+    touched = materialize(judged.where("not kept or count > 1").select("own_id", "k1", "k2", "kept").toDF(*by, "kept_row"), "touched")
+    whole = keyed.join(touched.select(*by), by, "left_anti")
+    repeated = keyed.join(touched.where("kept_row").select(*by), by, "left_semi").dropDuplicates(by)
+    order = [F.col(f"`{c}`") for c in docs.columns]
+    return whole.select(*order).union(repeated.select(*order))
