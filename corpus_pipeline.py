@@ -30,7 +30,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each component of SimHash links: shingles of three words, two bits at most."""
     return simhash.keep_first(docs).select(*COLUMNS)
 
 
