@@ -11,13 +11,12 @@ occurrence of each connected group stays.
 A block may be common to a large share of all lines, so its list does not make pairs:
 
 1. every line of a list is compared with the list's first one;
-2. in lists whose lines are then still in different groups, lines of different groups are compared if
-   the list is short (``CROWDED``);
-3. lines of longer lists are posted again under their rarest words there. Lines within e edits lack at
-   most e of each other's words, so among the e + 1 rarest words of each there is a common one: no
-   pair is lost, and what a page template has in common brings nothing together. Steps 1 and 2
-   follow for these lists. In what is crowded even then, lines outside the largest group meet the
-   lines of all others.
+2. in lists whose lines are then still in different groups, those outside the largest group, if they
+   are few (``CROWDED``), are compared with the lines of other groups;
+3. if they are many, the lines of the list are posted again under their rarest words there. Lines
+   within e edits lack at most e of each other's words, so among the e + 1 rarest words of each there
+   is a common one: no pair is lost, and what a page template has in common brings nothing together.
+   Steps 1 and 2 follow for these lists, step 2 for any number.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ from barloom.session import materialize
 MIN_WORDS = 5
 SIMILARITY = 0.8
 BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
-#: Lists up to this size are compared pair by pair.
+#: Lines outside a list's largest group that are compared with all of the list, at most.
 CROWDED = 64
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
@@ -98,15 +97,12 @@ def spelled(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(letters, "")), "UTF-16BE")
 
 
-def verified(pairs: DataFrame, unique: DataFrame) -> DataFrame:
-    """The pairs (a, b) of line numbers whose lines have the edit similarity."""
-    pairs = materialize(pairs.distinct(), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    words = materialize(unique.join(nodes, "line", "left_semi").select("line", spelled(F.col("norm")).alias("spelled")), "spelled")
-    left = words.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
-    right = words.select(F.col("line").alias("b"), F.col("spelled").alias("nb"))
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of line numbers whose lines have the edit similarity. ``texts``: line, spelled."""
+    left = texts.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
+    right = texts.select(F.col("line").alias("b"), F.col("spelled").alias("nb"))
     most = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(length(na), length(nb)) + 1e-9D) as int)"
-    return pairs.join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
+    return pairs.distinct().join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
 
 
 def fits(a: str, b: str) -> Column:
@@ -120,18 +116,21 @@ def shared(postings: DataFrame) -> DataFrame:
     return materialize(postings.join(materialize(lists, "lists"), "key"), "shared")
 
 
-def with_heads(held: DataFrame, unique: DataFrame) -> DataFrame:
+def with_heads(held: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between the lines of lists and their first ones."""
-    return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b")), unique)
+    return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b")), texts)
 
 
 def mixed(held: DataFrame, links: DataFrame) -> DataFrame:
-    """Lines of lists that hold different groups, with their ``component``. Lists of two are done."""
+    """Lines of lists that hold different groups: their ``component``, the list's ``largest`` and the
+    number of ``strays`` outside it. Lists of two are done."""
     found = connected_components(links, "a", "b").select(F.col("node").alias("line"), "component")
     grouped = held.where("members > 2").join(found, "line", "left").withColumn("component", F.coalesce("component", "line"))
     grouped = materialize(grouped.select("key", "line", "size", "members", "component"), "grouped")
-    several = grouped.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    return materialize(grouped.join(several.select("key"), "key", "left_semi"), "mixed")
+    sizes = grouped.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"))
+    several = largest.select("key", F.col("most.component").alias("largest"), (F.col("all") - F.col("most.n")).alias("strays")).where("strays > 0")
+    return materialize(grouped.drop("members").join(several, "key"), "mixed")
 
 
 def across(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -142,11 +141,10 @@ def across(left: DataFrame, right: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def rarest(crowd: DataFrame, unique: DataFrame) -> DataFrame:
+def rarest(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, line, size): lines of crowded lists, posted under their rarest words in the list."""
-    lines = crowd.select("line").distinct()
-    words = unique.join(lines, "line", "left_semi").select("line", F.array_distinct(F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))).alias("words"))
-    held = materialize(crowd.select("key", "line", "size").join(words, "line").select("key", "line", "size", F.explode("words").alias("word")), "words")
+    words = crowd.select("key", "line", "size").join(texts.select("line", F.array_distinct(F.split("spelled", "")).alias("words")), "line")
+    held = materialize(words.select("key", "line", "size", F.explode("words").alias("word")), "words")
     counts = held.groupBy("key", "word").agg(F.count("*").alias("n"))
     order = F.sort_array(F.collect_list(F.struct("n", "word")))  # at most a line's words
     ordered = held.join(counts, ["key", "word"]).groupBy("key", "line", "size").agg(order.alias("words"))
@@ -158,22 +156,19 @@ def rarest(crowd: DataFrame, unique: DataFrame) -> DataFrame:
 def links(unique: DataFrame) -> DataFrame:
     """(a, b): links between distinct lines that connect all that similar lines on a common block do."""
     held = shared(posted(unique))
-    found = materialize(with_heads(held, unique), "links")
+    # The texts of lines that share a list; no other text moves again.
+    lines = unique.select("line", "norm").join(held.select("line").distinct(), "line", "left_semi")
+    texts = materialize(lines.select("line", spelled(F.col("norm")).alias("spelled")), "texts")
+    found = materialize(with_heads(held, texts), "links")
     open_ = mixed(held, found)
-    few = across(open_.where(F.col("members") <= CROWDED), open_)
-    found = materialize(found.union(verified(few, unique)), "links")
-    crowd = open_.where(F.col("members") > CROWDED)
+    few, crowd = open_.where(F.col("strays") <= CROWDED), open_.where(F.col("strays") > CROWDED)
+    found = materialize(found.union(verified(across(few.where("component != largest"), few), texts)), "links")
     if crowd.isEmpty():
         return found
-    held = shared(rarest(crowd, unique))
-    found = materialize(found.union(with_heads(held, unique)), "links")
+    held = shared(rarest(crowd, texts))
+    found = materialize(found.union(with_heads(held, texts)), "links")
     open_ = mixed(held, found)
-    few = across(open_.where(F.col("members") <= CROWDED), open_)
-    crowd = open_.where(F.col("members") > CROWDED)
-    sizes = crowd.groupBy("key", "component").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("most")).select("key", F.col("most.component").alias("largest"))
-    strays = crowd.join(largest, "key").where("component != largest").drop("largest")
-    return materialize(found.union(verified(few.union(across(strays, crowd)), unique)), "links")
+    return materialize(found.union(verified(across(open_.where("component != largest"), open_), texts)), "links")
 
 
 def removed_lines(lines: DataFrame) -> DataFrame:

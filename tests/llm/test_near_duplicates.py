@@ -212,10 +212,10 @@ def test_a_template_makes_no_pairs(spark, monkeypatch):
     compared = []
     plain = line_dedup.verified
 
-    def counted(pairs, unique):
+    def counted(pairs, texts):
         pairs = line_dedup.materialize(pairs, "counted")
         compared.append(pairs.count())
-        return plain(pairs, unique)
+        return plain(pairs, texts)
 
     monkeypatch.setattr(line_dedup, "verified", counted)
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), counts=True)
