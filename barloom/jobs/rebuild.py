@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.bars import dedupe_bars, replace_keys
+from barloom.operators.bars import dedupe_bars
 from barloom.operators.splits import adjust_prices, prepare_splits
 from barloom.operators.technical import technical_indicators
 from barloom.operators.tickers import prepare_tickers
@@ -61,8 +61,9 @@ def sync_splits(wh: Warehouse, feed: DataFrame, ticker: str | None = None) -> in
     if count == 0:
         return 0
     if ticker is not None:
-        splits = replace_keys(wh.scan("splits"), splits, ["ticker"])
-    wh.write(splits, "splits", "overwrite")
+        wh.replace_tickers(splits, "splits", [ticker])
+    else:
+        wh.write(splits, "splits", "overwrite")
     return count
 
 

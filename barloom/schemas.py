@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,13 @@ REFERENCE_PRICES = _schema(
     ticker=_S, date=_D, open=_DBL, high=_DBL, low=_DBL, close=_DBL, volume=_L, transactions=_L
 )
 
+#: Buckets of the ticker in tables laid out by ticker; fixed for the life of a warehouse.
+BUCKETS = 16
+
+
+def ticker_bucket(ticker: Column) -> Column:
+    return F.pmod(F.xxhash64(ticker), F.lit(BUCKETS)).cast("int")
+
 
 @dataclass(frozen=True)
 class Table:
@@ -87,27 +94,34 @@ class Table:
     schema: T.StructType
     sort_keys: tuple[str, ...] = ()
     date_column: str | None = None
-    # "day": partitions (source, trade_date); "month": trade_month; None: unpartitioned
+    # "day": partitions (source, trade_date); "year": (ticker_bucket, trade_year);
+    # "bucket": ticker_bucket; None: unpartitioned
     grain: str | None = None
     default_mode: str = "overwrite"
 
     @property
     def partition_columns(self) -> tuple[str, ...]:
-        return {"day": ("source", "trade_date"), "month": ("trade_month",)}.get(self.grain, ())
+        by_ticker = {"year": ("ticker_bucket", "trade_year"), "bucket": ("ticker_bucket",)}
+        return {"day": ("source", "trade_date"), **by_ticker}.get(self.grain, ())
+
+    @property
+    def bucketed(self) -> bool:
+        return "ticker_bucket" in self.partition_columns
 
     @property
     def stored_schema(self) -> T.StructType:
-        layout = [T.StructField(n, _S if n == "source" else _D) for n in self.partition_columns]
+        types = {"source": _S, "ticker_bucket": T.IntegerType()}
+        layout = [T.StructField(n, types.get(n, _D)) for n in self.partition_columns]
         return T.StructType([*self.schema, *layout])
 
 
 TABLES: dict[str, Table] = {
     "stocks_raw": Table(STOCK_BARS, ("ticker", "window_start"), "window_start", "day", "append"),
     "stocks_adjusted": Table(
-        STOCK_BARS, ("ticker", "window_start"), "window_start", "month", "append"
+        STOCK_BARS, ("ticker", "window_start"), "window_start", "year", "append"
     ),
-    "stocks_technical": Table(TECHNICAL, ("ticker", "window_start"), "window_start", "month"),
-    "splits": Table(SPLITS, date_column="execution_date"),
+    "stocks_technical": Table(TECHNICAL, ("ticker", "window_start"), "window_start", "year"),
+    "splits": Table(SPLITS, date_column="execution_date", grain="bucket"),
     "options": Table(
         OPTIONS, ("underlying_symbol", "window_start"), "window_start", "day", "append"
     ),

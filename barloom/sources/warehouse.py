@@ -5,10 +5,16 @@ version is whole; readers take the highest marked version. Markers are created a
 changed, so a lost job leaves the version before it in place, and a job may rebuild a table
 from the table itself. Appending adds to the current version. One writer per table at a time.
 
+Tables by ticker are partitioned by a hash bucket of the ticker. Replacing some tickers writes
+their buckets only, into a new version whose marker names the folders that make it up: the
+new ones and those of earlier versions that stay. No file moves, and readers of the version
+before go on with it.
+
 Bars as landed are partitioned by ``source`` (the file's date) and by ``trade_date``. Writing
 a source again replaces the whole source: the new rows are written aside and then take the
 place of the folder. A source that is lost between these steps is not there, so the next
-ingest loads it again. Derived tables are partitioned by ``trade_month``. Rows reach the
+ingest loads it again. Bars written directly, without a file, share a folder for each month.
+Derived tables are partitioned by ``ticker_bucket`` and ``trade_year``. Rows reach the
 writer by one rebalancing shuffle on the partition columns: large days and months are cut
 into several files, small ones share a task, and the input is computed once (range
 partitioning would run it a second time to sample it). Files are sorted by their keys, so a
@@ -20,12 +26,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as bar_ops
-from barloom.schemas import TABLES, Table, conform
+from barloom.schemas import TABLES, Table, conform, ticker_bucket
 from barloom.session import use_utc
 
 SOURCE = "source"
@@ -58,16 +65,44 @@ class Warehouse:
         used = [int(n[1:]) for n in self._names(f"{self.root}/{table}") if n.startswith("v") and n[1:].isdigit()]
         return f"{self.root}/{table}/v{max(used, default=0) + 1:05d}"
 
-    def _publish(self, table: str, version: str) -> None:
-        marker, fs = self._path(f"{self.root}/{table}/_versions/{version.rsplit('/', 1)[1]}")
-        fs.create(marker, False).close()
+    def _publish(self, table: str, version: str, folders: list[str] | None = None) -> None:
+        """Mark a version; ``folders``, below the table, make it up if it is not its own folder alone."""
+        name = version.rsplit("/", 1)[1]
+        marker, fs = self._path(f"{self.root}/{table}/_versions/{name}")
+        if folders is None:
+            fs.create(marker, False).close()
+            return
+        aside, _ = self._path(f"{self.root}/{table}/_versions/_{name}-{uuid.uuid4().hex[:12]}")
+        out = fs.create(aside, False)
+        out.write(bytearray("\n".join(folders).encode()))
+        out.close()
+        if not fs.rename(aside, marker):
+            raise OSError(f"cannot publish {version}")
+
+    def folders(self, table: str, version: str | None = None) -> list[str]:
+        """The folders below the table, such as ``v00001`` or ``v00002/ticker_bucket=3``, that make up a
+        version (the current one if None)."""
+        current = version or (self._current(table) or "").rsplit("/", 1)[-1]
+        if not current:
+            return []
+        marker, fs = self._path(f"{self.root}/{table}/_versions/{current}")
+        if not fs.getFileStatus(marker).getLen():
+            return [current]
+        stream = fs.open(marker)
+        text = bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        stream.close()
+        return text.split("\n")
 
     def drop_old_versions(self, table: str, keep: int = 2) -> list[str]:
-        """Delete all but the last ``keep`` marked versions, which readers may still have open."""
+        """Delete all but the last ``keep`` marked versions, which readers may still have open; folders
+        that these are made of stay."""
         marked = [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v")]
-        old = marked[: -max(1, keep)]
-        for name in old:
-            for folder in (f"_versions/{name}", name):
+        old, kept = marked[: -max(1, keep)], marked[-max(1, keep) :]
+        needed = {f for name in kept for f in self.folders(table, name)}
+        for name in [n for n in self._names(f"{self.root}/{table}") if n.startswith("v") and n < min(kept, default="")]:
+            inner = [f for f in needed if f == name or f.startswith(f"{name}/")]
+            gone = [name] if not inner else [] if name in inner else [f"{name}/{n}" for n in self._names(f"{self.root}/{table}/{name}") if f"{name}/{n}" not in inner]
+            for folder in (f"_versions/{name}", *gone):
                 path, fs = self._path(f"{self.root}/{table}/{folder}")
                 fs.delete(path, True)
         return old
@@ -117,6 +152,8 @@ class Warehouse:
         stored = self._stored(table)
         if ticker is not None:
             stored = stored.filter(F.col("ticker") == ticker)
+            if spec.bucketed:
+                stored = stored.filter(F.col("ticker_bucket") == ticker_bucket(F.lit(ticker)))
         if underlying_symbol is not None:
             stored = stored.filter(F.col("underlying_symbol") == underlying_symbol)
         if active_only:
@@ -127,21 +164,26 @@ class Warehouse:
         return stored.select(*spec.schema.names)
 
     def _stored(self, table: str) -> DataFrame:
-        schema, path = TABLES[table].stored_schema, self._current(table)
-        if path is None:
+        schema, versions = TABLES[table].stored_schema, {}
+        for folder in self.folders(table):
+            versions.setdefault(folder.split("/")[0], []).append(f"{self.root}/{table}/{folder}")
+        if not versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        read = self.spark.read.schema(schema)
+        parts = [read.option("basePath", f"{self.root}/{table}/{v}").parquet(*paths) for v, paths in versions.items()]
+        return reduce(DataFrame.union, parts)
 
     def loaded_dates(self, table: str) -> DataFrame:
-        """Distinct trading dates of a landed table, from its partition values alone.
+        """Distinct trading dates of a landed table.
 
-        That is the date of the source file where there is one, else the UTC date.
+        That is the date of the source file where there is one, from the partition values alone, else
+        the UTC date, for which the bars written directly are read.
         """
-        return self._stored(table).select(
-            F.coalesce(
-                F.try_to_date(F.substring(SOURCE, 1, 10), "yyyy-MM-dd"), F.col("trade_date")
-            ).alias("date")
-        ).distinct()
+        stored = self._stored(table)
+        named = F.try_to_date(F.substring(SOURCE, 1, 10), "yyyy-MM-dd")
+        landed = stored.filter(F.col(SOURCE) != DIRECT).select(F.coalesce(named, F.col("trade_date")).alias("date"))
+        direct = stored.filter(F.col(SOURCE) == DIRECT).select(F.to_date(TABLES[table].date_column).alias("date"))
+        return landed.distinct().union(direct.distinct()).distinct()
 
     def register_views(self) -> None:
         """Temporary views of all tables, for ``spark.sql``."""
@@ -174,7 +216,8 @@ class Warehouse:
         if mode == "replace" and spec.grain != "day":
             raise ValueError(f"{table} is not written by source")
         current = self._current(table)
-        target = current if current and mode != "overwrite" else self._next(table)
+        own = current is not None and self.folders(table) == [current.rsplit("/", 1)[1]]
+        target = current if own and mode != "overwrite" else self._next(table)
         writer = _laid_out(df, spec).write.option("compression", "zstd")
         if spec.partition_columns:
             writer = writer.partitionBy(*spec.partition_columns)
@@ -185,12 +228,36 @@ class Warehouse:
         else:
             writer.mode("append").parquet(target)
         if target != current:
-            self._publish(table, target)
+            made = self.folders(table) if mode == "append" and current else []
+            self._publish(table, target, [*made, target.rsplit("/", 1)[1]] if made else None)
+
+    def replace_tickers(self, new: DataFrame, table: str, tickers: list[str]) -> list[int]:
+        """Replace the rows of some tickers and keep all others; the buckets that were written.
+
+        Other buckets are neither read nor written: the new version names their folders.
+        """
+        if not TABLES[table].bucketed:
+            raise ValueError(f"{table} is not laid out by ticker")
+        wanted = self.spark.createDataFrame([(t,) for t in tickers], "ticker string")
+        touched = sorted(r.b for r in wanted.select(ticker_bucket(F.col("ticker")).alias("b")).distinct().collect())  # at most BUCKETS
+        if not touched:
+            return []
+        held = self._stored(table).filter(F.col("ticker_bucket").isin(touched))
+        kept = held.filter(~F.coalesce(F.col("ticker").isin(tickers), F.lit(False))).select(*TABLES[table].schema.names)
+        rows = kept.unionByName(conform(new.filter(F.col("ticker").isin(tickers)), TABLES[table].schema))
+        stay = [f for folder in self.folders(table) for f in self._bucket_folders(table, folder) if int(f.rsplit("=", 1)[1]) not in touched]
+        target = self._next(table)
+        spec = TABLES[table]
+        _laid_out(rows, spec).write.option("compression", "zstd").partitionBy(*spec.partition_columns).parquet(target)
+        name = target.rsplit("/", 1)[1]
+        self._publish(table, target, [*stay, *self._bucket_folders(table, name)] or None)
+        return touched
 
-    def replace_tickers(self, new: DataFrame, table: str, tickers: list[str]) -> None:
-        """Replace the rows of some tickers and keep all others."""
-        kept = self.scan(table).filter(~F.col("ticker").isin(tickers))
-        self.write(kept.unionByName(conform(new, TABLES[table].schema)), table, "overwrite")
+    def _bucket_folders(self, table: str, folder: str) -> list[str]:
+        """A folder of a version as its buckets' folders."""
+        if "/" in folder:
+            return [folder]
+        return [f"{folder}/{n}" for n in self._names(f"{self.root}/{table}/{folder}") if n.startswith("ticker_bucket=")]
 
 
 def _bound(spec: Table, bound: dt.date | dt.datetime, is_start: bool) -> Column:
@@ -207,10 +274,14 @@ def _bound(spec: Table, bound: dt.date | dt.datetime, is_start: bool) -> Column:
         condition = column >= _instant(day)
     else:
         condition = column < _instant(day + dt.timedelta(days=1))
-    if spec.grain is not None:
+    if spec.grain in ("day", "year"):
         partition = F.col(spec.partition_columns[-1])
-        edge = day if spec.grain == "day" else day.replace(day=1)
-        condition = condition & (partition >= F.lit(edge) if is_start else partition <= F.lit(edge))
+        within = lambda edge: partition >= F.lit(edge) if is_start else partition <= F.lit(edge)
+        if spec.grain == "year":
+            condition = condition & within(day.replace(month=1, day=1))
+        else:  # bars written directly lie at the first of their month
+            direct = F.col(SOURCE) == DIRECT
+            condition = condition & ((direct & within(day.replace(day=1))) | (~direct & within(day)))
     return condition
 
 
@@ -226,10 +297,13 @@ def _laid_out(df: DataFrame, spec: Table) -> DataFrame:
         return rows.hint("rebalance")
     date = F.to_date(F.col(spec.date_column))
     if spec.grain == "day":
-        source = F.col(SOURCE) if SOURCE in df.columns else F.lit(DIRECT)
-        landed = df.withColumn(SOURCE, source).withColumn("trade_date", date)
+        direct = SOURCE not in df.columns
+        source = F.lit(DIRECT) if direct else F.col(SOURCE)
+        landed = df.withColumn(SOURCE, source).withColumn("trade_date", F.trunc(date, "month") if direct else date)
         rows = conform(landed, spec.stored_schema)
     else:
-        rows = rows.withColumn("trade_month", F.trunc(date, "month"))
+        rows = rows.withColumn("ticker_bucket", ticker_bucket(F.col("ticker")))
+        if spec.grain == "year":
+            rows = rows.withColumn("trade_year", F.trunc(date, "year"))
     columns = spec.partition_columns
     return rows.hint("rebalance", *columns).sortWithinPartitions(*columns, *spec.sort_keys)

@@ -49,18 +49,6 @@ class Fixtures:
             )
         )
 
-    @staticmethod
-    def months(bars: DataFrame) -> DataFrame:
-        """All daily bars merged into one a month, stored as the tables store prices: for jobs, whose
-        tables have a folder for each date."""
-        first, last = F.min_by("open", "window_start"), F.max_by("close", "window_start")
-        stamp = F.date_trunc("month", "window_start") + F.expr("interval 4 hours")
-        return bars.groupBy("ticker", stamp.alias("month")).agg(
-            F.sum("volume").alias("volume"),
-            first.alias("open"), last.alias("close"), F.max("high").alias("high"), F.min("low").alias("low"),
-            F.sum("transactions").alias("transactions"),
-        ).withColumnRenamed("month", "window_start")
-
     @staticmethod
     def _letter(index) -> F.Column:
         return F.concat(F.lit("TK"), F.char(F.lit(65) + index))
@@ -250,16 +238,14 @@ group by b.ticker, b.window_start""",
 select b.ticker, b.window_start, b.volume, b.open/f.cumulative_factor as open, b.close/f.cumulative_factor as close,
   b.high/f.cumulative_factor as high, b.low/f.cumulative_factor as low, b.transactions, f.cumulative_factor
 from bars b join factors f using (ticker, window_start)""",
-    "months": """
-select ticker, date_trunc('month',window_start)+interval 4 hour as window_start, cast(sum(volume) as bigint) as volume,
-  min_by(open,window_start)::float::double as open, max_by(close,window_start)::float::double as close,
-  max(high)::float::double as high, min(low)::float::double as low, cast(sum(transactions) as bigint) as transactions
-from bars group by ticker, date_trunc('month',window_start)""",
-    "months_adjusted": """
-select b.ticker, b.window_start, b.volume, (b.open/f)::float::double as open, (b.close/f)::float::double as close,
-  (b.high/f)::float::double as high, (b.low/f)::float::double as low, b.transactions, f as cumulative_factor
-from (select b.*, (select coalesce(product(s.split_factor),1.0) from splits s
-    where s.ticker=b.ticker and s.execution_date>=b.window_start::date) as f from months b) b""",
+    "stored": """
+select ticker, window_start, volume, open::float::double as open, close::float::double as close,
+  high::float::double as high, low::float::double as low, transactions from bars""",
+    "stored_adjusted": """
+select b.ticker, b.window_start, b.volume, (b.open/f.cumulative_factor)::float::double as open,
+  (b.close/f.cumulative_factor)::float::double as close, (b.high/f.cumulative_factor)::float::double as high,
+  (b.low/f.cumulative_factor)::float::double as low, b.transactions, f.cumulative_factor
+from stored b join factors f using (ticker, window_start)""",
     "check_dates": """
 select distinct ticker, execution_date+cast(d as int) as date
 from splits, lateral (select unnest([-30,-1,0,1]) as d)""",
@@ -285,8 +271,8 @@ NEEDS = {
     "bad_bars": ["bars"],
     "factors": ["bars", "splits"],
     "adjusted": ["bars", "factors"],
-    "months": ["bars"],
-    "months_adjusted": ["months", "splits"],
+    "stored": ["bars"],
+    "stored_adjusted": ["stored", "factors"],
     "check_dates": ["splits"],
     "reference_prices": ["adjusted"],
     "checks": ["check_dates", "adjusted", "reference_prices"],

@@ -86,15 +86,15 @@ def test_scan_prunes_partitions_and_pushes_filters(spark, daily, tmp_path):
     wh.write(daily, "stocks_adjusted", "overwrite")
     df = wh.scan("stocks_adjusted", "TKB", dt.date(1997, 3, 10), dt.date(1997, 4, 2)).select("window_start", "close")
     text = plan(df)
-    assert "PartitionFilters: [isnotnull(trade_month" in text
-    assert "(trade_month#" in text.split("PartitionFilters")[1]
+    partitions = text.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "(trade_year#" in partitions and "(ticker_bucket#" in partitions
     pushed = text.split("PushedFilters: ")[1]
     assert "EqualTo(ticker,TKB)" in pushed and "GreaterThanOrEqual(window_start" in pushed
     schema = text.split("ReadSchema: ")[1]
     assert "volume" not in schema and "high" not in schema
-    months = {p.name for p in tmp_path.glob("stocks_adjusted/v00001/trade_month=*")}
-    assert "trade_month=1997-03-01" in months
-    assert len(list(tmp_path.glob("stocks_adjusted/v00001/trade_month=*/*.parquet"))) < 2 * len(months)
+    months = {p.name for p in tmp_path.glob("stocks_adjusted/v00001/trade_year=*")}
+    assert "trade_year=1997-01-01" in months
+    assert len(list(tmp_path.glob("stocks_adjusted/v00001/trade_year=*/*.parquet"))) < 2 * len(months)
 
 
 def test_dropping_bad_symbols_does_not_parse_twice(fx):

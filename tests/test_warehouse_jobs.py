@@ -335,3 +335,93 @@ def test_feeds(spark, tmp_path):
     (tmp_path / "p.csv").write_text("ticker,date,open,high,low,close,volume,transactions\nA,2024-01-02,1,2,1,1.5,10,\n")
     row = feeds.read_reference_prices(spark, str(tmp_path / "p.csv"), "csv").first()
     assert (row.date, row.close, row.transactions) == (D(2024, 1, 2), 1.5, None)
+
+
+def files_of(wh, table):
+    """Names of the files that the current version is made of, by bucket."""
+    out = {}
+    for folder in wh.folders(table):
+        for path in (Path(wh.root) / table / folder).rglob("*.parquet"):
+            bucket = next(int(p.split("=")[1]) for p in path.parts if p.startswith("ticker_bucket="))
+            out.setdefault(bucket, set()).add(str(path))
+    return out
+
+
+def many_bars(spark, n=40):
+    rows = [(f"T{k:02d}", dt.datetime(2021 + k % 3, 1 + d, 4, 4), 10, 1.0 * k, 1.0 * k, 1.0 * k, 1.0 * k, 1) for k in range(n) for d in range(3)]
+    return spark.createDataFrame(rows, "ticker string, window_start timestamp, volume long, open double, close double, high double, low double, transactions long")
+
+
+def test_replacing_tickers_leaves_other_buckets_alone(spark, wh):
+    bars = many_bars(spark)
+    wh.write(bars, "stocks_adjusted", "overwrite")
+    before, old = files_of(wh, "stocks_adjusted"), wh.scan("stocks_adjusted")
+    new = bars.filter("ticker in ('T03', 'T07', 'T08')").withColumn("close", F.col("close") + 100)
+    # Rows of tickers that are not named do not come in.
+    touched = wh.replace_tickers(new, "stocks_adjusted", ["T03", "T07", "GONE"])
+    after = files_of(wh, "stocks_adjusted")
+    assert 0 < len(touched) <= 3
+    assert {b: f for b, f in before.items() if b not in touched} == {b: f for b, f in after.items() if b not in touched}
+    assert all(not before[b] & after[b] for b in touched if b in before)
+    got = {(r.ticker, r.close) for r in wh.scan("stocks_adjusted").collect()}
+    assert got == {(f"T{k:02d}", k + (100.0 if k in (3, 7) else 0.0)) for k in range(40)}
+    assert old.filter("close >= 100").count() == 0, "readers of the version before go on with it"
+    assert wh.scan("stocks_adjusted").count() == 120
+
+
+def test_after_a_replacement(spark, wh):
+    """Appending, replacing again, removing a ticker, and dropping versions whose folders are still used."""
+    bars = many_bars(spark)
+    wh.write(bars, "stocks_adjusted", "append")
+    wh.replace_tickers(bars.filter("ticker = 'T01'").limit(1), "stocks_adjusted", ["T01"])
+    later = bars.filter("ticker in ('T01', 'T02')").withColumn("window_start", F.expr("window_start + interval 5 years"))
+    wh.write(later, "stocks_adjusted", "append")
+    assert wh.scan("stocks_adjusted", "T01").count() == 4 and wh.scan("stocks_adjusted", "T02").count() == 6
+    wh.replace_tickers(bars.limit(0), "stocks_adjusted", ["T02"])
+    assert wh.scan("stocks_adjusted", "T02").count() == 0
+    count = wh.scan("stocks_adjusted").count()
+    assert count == 118 + 3 - 3
+    assert wh.drop_old_versions("stocks_adjusted", keep=1) == ["v00001", "v00002", "v00003"]
+    assert wh.scan("stocks_adjusted").count() == count
+    wh.write(bars, "stocks_adjusted", "overwrite")
+    wh.drop_old_versions("stocks_adjusted", keep=1)
+    names = {p.name for p in (Path(wh.root) / "stocks_adjusted").iterdir() if p.name.startswith("v")}
+    assert len(names) == 1 and wh.scan("stocks_adjusted").count() == 120
+    assert wh.replace_tickers(bars, "stocks_adjusted", []) == []
+    with pytest.raises(ValueError):
+        wh.replace_tickers(bars, "stocks_raw", ["T01"])
+
+
+def test_replacing_in_an_absent_table(spark, wh):
+    bars = many_bars(spark, 4)
+    wh.replace_tickers(bars, "stocks_adjusted", ["T01", "T02"])
+    assert wh.scan("stocks_adjusted").count() == 6
+    wh.replace_tickers(bars.limit(0), "stocks_adjusted", ["T01", "T02"])
+    assert wh.exists("stocks_adjusted") and wh.scan("stocks_adjusted").count() == 0
+
+
+def test_a_ticker_reads_its_bucket_only(spark, wh):
+    wh.write(many_bars(spark), "stocks_adjusted", "overwrite")
+    read = {f.split("ticker_bucket=")[1].split("/")[0] for f in wh.scan("stocks_adjusted", "T05").select("ticker", F.input_file_name().alias("f")).toPandas().f}
+    assert len(read) == 1
+    plan = wh.scan("stocks_adjusted", "T05", D(2023, 1, 1))._jdf.queryExecution().toString().split("PartitionFilters")[1]
+    assert "ticker_bucket" in plan and "trade_year" in plan
+
+
+def test_directly_written_bars_keep_their_dates(spark, wh):
+    wh.write(many_bars(spark), "stocks_raw", "append")
+    days = {r.date for r in wh.loaded_dates("stocks_raw").collect()}
+    assert days == {D(2021 + y, m, 4) for y in range(3) for m in (1, 2, 3)}
+    assert wh.scan("stocks_raw", start=D(2022, 2, 3), end=D(2022, 2, 5)).count() == 13
+    assert len(list((Path(wh.root) / "stocks_raw" / "v00001").glob("source=direct/trade_date=*"))) == 9
+
+
+def test_splits_of_one_ticker(spark, wh):
+    wh.write(many_bars(spark), "stocks_raw", "append")
+    feed = spark.createDataFrame([("a", "T01", D(2022, 5, 1), 1.0, 2.0), ("b", "T02", D(2022, 6, 1), 1.0, 3.0), ("c", "T03", D(2022, 6, 1), 1.0, 3.0)], SPLITS_FEED)
+    rebuild.sync_splits(wh, feed)
+    before = files_of(wh, "splits")
+    assert rebuild.sync_splits(wh, feed.withColumn("split_to", F.lit(5.0)), "T02") == 1
+    after = files_of(wh, "splits")
+    assert sum(before[b] == after[b] for b in before) == len(before) - 1
+    assert {r.ticker: r.split_to for r in wh.scan("splits").collect()} == {"T01": 2.0, "T02": 5.0, "T03": 3.0}
