@@ -85,7 +85,9 @@ def test_scan_prunes_partitions_and_pushes_filters(spark, daily, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     wh.write(daily, "stocks_adjusted", "overwrite")
     df = wh.scan("stocks_adjusted", "TKB", dt.date(1997, 3, 10), dt.date(1997, 4, 2)).select("window_start", "close")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # the whole filters
     text = plan(df)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     partitions = text.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "(trade_year#" in partitions and "(ticker_bucket#" in partitions
     pushed = text.split("PushedFilters: ")[1]
