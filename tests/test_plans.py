@@ -94,9 +94,9 @@ def test_scan_prunes_partitions_and_pushes_filters(spark, daily, tmp_path):
     assert "EqualTo(ticker,TKB)" in pushed and "GreaterThanOrEqual(window_start" in pushed
     schema = text.split("ReadSchema: ")[1]
     assert "volume" not in schema and "high" not in schema
-    months = {p.name for p in tmp_path.glob("stocks_adjusted/v00001/trade_year=*")}
-    assert "trade_year=1997-01-01" in months
-    assert len(list(tmp_path.glob("stocks_adjusted/v00001/trade_year=*/*.parquet"))) < 2 * len(months)
+    years = list(tmp_path.glob("stocks_adjusted/v00001/ticker_bucket=*/trade_year=*"))
+    assert "trade_year=1997-01-01" in {p.name for p in years}
+    assert sum(len(list(p.glob("*.parquet"))) for p in years) < 2 * len(years)
 
 
 def test_dropping_bad_symbols_does_not_parse_twice(fx):
