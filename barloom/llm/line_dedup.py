@@ -36,22 +36,21 @@ BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
 CROWDED = 64
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
-BETWEEN = rf"[{MARKS}]+| {{2,}}"
+BETWEEN = rf" *+[{MARKS}][ {MARKS}]*| {{2,}}"
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, pos, norm, k1, k2): the lines that hold a word, as words in lower case with single spaces
-    between them; k1 and k2 are 128 bits of hash of norm.
+    """(at, doc, pos, norm, k1, k2): the lines that hold a word, numbered, as words in lower case with
+    single spaces between them; k1 and k2 are 128 bits of hash of norm.
 
     Whole texts are normalised below the generator, so that no later step makes the planner do it again.
     """
     bare = F.regexp_replace(F.lower(F.col(f"`{text_col}`")), BETWEEN, " ")
-    bare = F.regexp_replace(bare, " {2,}", " ")  # what marks next to spaces left
     lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(bare, "\n")).alias("pos", "line"))
     norm = lines.select("doc", "pos", F.trim("line").alias("norm")).where(F.length("norm") > 0)
-    return norm.select("doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
+    return norm.select(F.monotonically_increasing_id().alias("at"), "doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
 
 
 def turned(word: str, number: int) -> Column:
@@ -67,26 +66,27 @@ def majority(a: Column, b: Column, c: Column) -> Column:
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: a number, k1, k2, its first occurrence, how often it occurs, norm."""
-    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("times"), F.first("norm").alias("norm"))
-    return firsts.select(F.monotonically_increasing_id().alias("line"), "k1", "k2", "first.doc", "first.pos", "times", "norm")
+    """One row per distinct line: its number (that of its first occurrence), k1, k2, the first
+    occurrence, how often it occurs, and of lines of ``MIN_WORDS`` words or more size and blocks."""
+    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos", "at")).alias("first"), F.count("*").alias("times"))
+    firsts = firsts.select(F.col("first.at").alias("line"), "k1", "k2", "first.doc", "first.pos", "times")
+    return firsts.join(simhashes(lines), ["k1", "k2"], "left").select("line", "k1", "k2", "doc", "pos", "times", "size", "blocks")
 
 
-def simhashes(unique: DataFrame) -> DataFrame:
-    """(line, size, blocks): number of words and SimHash of the lines of ``MIN_WORDS`` words or more."""
-    words = unique.select("line", F.explode(F.split("norm", " ")).alias("word"))
+def simhashes(lines: DataFrame) -> DataFrame:
+    """(k1, k2, size, blocks): number of words and SimHash of the distinct lines of ``MIN_WORDS`` words or more."""
+    words = lines.select("k1", "k2", F.posexplode(F.split("norm", " ")).alias("nth", "word"))
     orders = range(BLOCKS * FEATURES)
     words = words.select("*", *[F.xxhash64("word", F.lit(k)).alias(f"hash_{k}") for k in range(-(-len(orders) // 4))])
-    # A line's words are in one task, so each line is one row before the shuffle.
-    looked = words.groupBy("line").agg(F.count("*").cast("int").alias("size"), *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders])
+    # A line's words are in one task, so each line is one row before the shuffle; copies have equal values.
+    looked = words.groupBy("k1", "k2").agg((F.max("nth") + 1).alias("size"), *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders])
     blocks = [majority(*[F.col(f"first_{FEATURES * k + j}") for j in range(FEATURES)]) for k in range(BLOCKS)]
-    return looked.where(F.col("size") >= MIN_WORDS).select("line", "size", F.array(*blocks).alias("blocks"))
+    return looked.where(F.col("size") >= MIN_WORDS).select("k1", "k2", "size", F.array(*blocks).alias("blocks"))
 
 
 def posted(unique: DataFrame) -> DataFrame:
     """(key, line, size): lines under their blocks."""
-    held = materialize(simhashes(unique), "simhashes")
-    placed = held.select("line", "size", F.posexplode("blocks").alias("k", "block"))
+    placed = unique.select("line", "size", F.posexplode("blocks").alias("k", "block"))
     return placed.select(F.xxhash64("k", "block").alias("key"), "line", "size")
 
 
@@ -153,12 +153,12 @@ def rarest(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     return ordered.select(F.explode(first).alias("held"), "key", "line", "size").select(F.xxhash64("key", "held.word").alias("key"), "line", "size")
 
 
-def links(unique: DataFrame) -> DataFrame:
+def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, b): links between distinct lines that connect all that similar lines on a common block do."""
     held = shared(posted(unique))
     # The texts of lines that share a list; no other text moves again.
-    lines = unique.select("line", "norm").join(held.select("line").distinct(), "line", "left_semi")
-    texts = materialize(lines.select("line", spelled(F.col("norm")).alias("spelled")), "texts")
+    named = lines.select(F.col("at").alias("line"), "norm").join(held.select("line").distinct(), "line", "left_semi")
+    texts = materialize(named.select("line", spelled(F.col("norm")).alias("spelled")), "texts")
     found = materialize(with_heads(held, texts), "links")
     open_ = mixed(held, found)
     few, crowd = open_.where(F.col("strays") <= CROWDED), open_.where(F.col("strays") > CROWDED)
@@ -173,9 +173,10 @@ def links(unique: DataFrame) -> DataFrame:
 
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
-    unique = materialize(distinct_lines(lines), "distinct")
-    groups = connected_components(links(unique), "a", "b").select(F.col("node").alias("line"), "component")
-    classes = unique.drop("norm").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
+    lines = materialize(lines, "lines", "zstd")  # texts are normalised once
+    unique = materialize(distinct_lines(lines), "distinct", "zstd")
+    groups = connected_components(links(unique, lines), "a", "b").select(F.col("node").alias("line"), "component")
+    classes = unique.join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
     classes = materialize(classes.select("k1", "k2", "doc", "pos", "times", "component"), "classes")
     kept = classes.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"), F.sum("times").alias("all_times")).where("all_times > 1")
     losing = classes.join(kept, "component").select("k1", "k2", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))

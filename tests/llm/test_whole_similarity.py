@@ -50,10 +50,11 @@ def test_recall_on_the_documents(spark):
 
     true = [(a, b) for a, b in pairs if possible(a, b) and similar(words[a], words[b])]
     assert len(true) > 200
-    unique = materialize(line_dedup.distinct_lines(line_dedup.lines_of(docs, "doc_id", "text")), "lines")
-    number = {r.norm: r.line for r in unique.collect()}
+    lines = materialize(line_dedup.lines_of(docs, "doc_id", "text"), "lines")
+    unique = materialize(line_dedup.distinct_lines(lines), "distinct")
+    number = {r.norm: r.at for r in unique.join(lines.select("at", "norm"), unique.line == lines["at"]).collect()}
     assert set(number) == {t for t in texts if t}
-    group = {r.node: r.component for r in connected_components(line_dedup.links(unique), "a", "b").collect()}
+    group = {r.node: r.component for r in connected_components(line_dedup.links(unique, lines), "a", "b").collect()}
     found = sum(group.get(number[a], number[a]) == group.get(number[b], number[b]) for a, b in true)
     assert found >= 0.95 * len(true)
 
