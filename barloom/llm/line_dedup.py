@@ -36,7 +36,7 @@ BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
 CROWDED = 64
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
-BETWEEN = rf" *+[{MARKS}][ {MARKS}]*| {{2,}}"
+BETWEEN = rf"[ {MARKS}]{{2,}}|[{MARKS}]"
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 
