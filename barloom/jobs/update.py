@@ -12,12 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.jobs.ingest import ingest_missing
-from barloom.jobs.rebuild import (
-    recalculate_adjusted,
-    recalculate_technical,
-    sync_splits,
-    sync_tickers,
-)
+from barloom.jobs.rebuild import sync_splits, sync_tickers
+from barloom.jobs.refresh import refresh
 from barloom.operators.calendar import nyse_holidays, ready_dates, trading_day_gaps
 from barloom.operators.checks import CheckFailure, price_checks, summarize_checks
 from barloom.sources.flatfiles import available_dates
@@ -56,8 +52,7 @@ def fill_gaps(
         return {"gaps_found": 0, "dates_filled": 0, "raw_rows_added": 0}
     filled = ingest_missing(wh, "stocks", root, only=gaps)
     if readjust and filled["rows"]:
-        recalculate_adjusted(wh)
-        recalculate_technical(wh)
+        refresh(wh)
     return {
         "gaps_found": len(gaps),
         "dates_filled": filled["files_processed"],
@@ -120,7 +115,7 @@ def daily_update(
     days_back: int = 365,
     as_of: dt.date | None = None,
 ) -> dict[str, object]:
-    """Load what is new, rebuild what depends on it, verify, and report per step.
+    """Load what is new, bring what depends on it up to date, verify, and report per step.
 
     Splits and gap filling come before the adjustment and the indicators after it, so one
     run leaves all tables consistent, on an empty warehouse as well (the bulk load).
@@ -129,8 +124,9 @@ def daily_update(
     report["stocks"] = ingest_missing(wh, "stocks", feeds.stocks)
     report["gaps"] = fill_gaps(wh, feeds.stocks, feeds.holidays, readjust=False)
     report["splits"] = sync_splits(wh, feeds.splits)
-    report["adjusted"] = recalculate_adjusted(wh)
-    report["technical"] = recalculate_technical(wh)
+    report["refresh"] = refresh(wh)
+    report["adjusted"] = wh.scan("stocks_adjusted").count()
+    report["technical"] = wh.scan("stocks_technical").count()
     report["options"] = ingest_missing(wh, "options", feeds.options)
     report["tickers"] = sync_tickers(wh, feeds.tickers)
     report["checks"] = verify(wh, feeds.reference_prices, check_tickers, days_back, as_of=as_of)

@@ -59,6 +59,16 @@ def technical_indicators(
     return reduce(DataFrame.unionByName, frames)
 
 
+def continued_indicators(rows: DataFrame) -> DataFrame:
+    """The usual indicators of rows that go on from earlier results.
+
+    A series comes with its last rows before the ``own`` ones, ``base`` (how many rows lie before these),
+    ``flagged_before`` and ``given``: null in own rows, before them the range of the last row and 0 in others
+    (null in all if the whole series is there). No series may have more than ``MAX_ROWS`` rows.
+    """
+    return _indicators(Pieces(rows, ("ticker",)), (20, 50, 200), (20,), 14)
+
+
 def _missing(column: str) -> Column:
     return F.col(column).isNull() | F.isnan(column) | (F.abs(F.col(column)) == float("inf"))
 
@@ -120,6 +130,7 @@ def _indicators(
         F.lag("low").over(series).alias("l"),
         F.lag(close, 2).over(series).alias("c_prev"),
         F.lag(_incomplete(), 1, False).over(series).alias("flag"),
+        (F.col("given") if "given" in pieces.df.columns else F.lit(None).cast("double")).alias("given"),
     )
     true_range = F.greatest(
         F.col("h") - F.col("l"), F.abs(F.col("h") - F.col("c_prev")), F.abs(F.col("l") - F.col("c_prev"))
@@ -149,6 +160,7 @@ def _indicators(
     seed = atr_length + 1
     share = F.when(F.col("age") > seed, F.col("tr") / atr_length)
     share = share.when(F.col("age") == seed, _sum("rs", atr_length, series) / atr_length).otherwise(0.0)
+    share = F.coalesce("given", share)
     kept = ("window_start", "close", "high", "low", "volume", "own", "flagged_before", "age", "broken")
     averaged = sums.select(
         *by,

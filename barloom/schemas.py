@@ -98,6 +98,8 @@ class Table:
     # "bucket": ticker_bucket; None: unpartitioned
     grain: str | None = None
     default_mode: str = "overwrite"
+    # Columns kept in double precision beside the schema's, for jobs that go on from them: name -> source.
+    exact: tuple[tuple[str, str], ...] = ()
 
     @property
     def partition_columns(self) -> tuple[str, ...]:
@@ -112,7 +114,13 @@ class Table:
     def stored_schema(self) -> T.StructType:
         types = {"source": _S, "ticker_bucket": T.IntegerType()}
         layout = [T.StructField(n, types.get(n, _D)) for n in self.partition_columns]
-        return T.StructType([*self.schema, *layout])
+        exact = [T.StructField(n, _DBL) for n, _ in self.exact]
+        return T.StructType([*self.schema, *exact, *layout])
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """``df`` cast to the schema, with the exact columns (from their source where ``df`` lacks them)."""
+        exact = [F.col(n if n in df.columns else source).cast("double").alias(n) for n, source in self.exact]
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *exact)
 
 
 TABLES: dict[str, Table] = {
@@ -120,7 +128,9 @@ TABLES: dict[str, Table] = {
     "stocks_adjusted": Table(
         STOCK_BARS, ("ticker", "window_start"), "window_start", "year", "append"
     ),
-    "stocks_technical": Table(TECHNICAL, ("ticker", "window_start"), "window_start", "year"),
+    "stocks_technical": Table(
+        TECHNICAL, ("ticker", "window_start"), "window_start", "year", exact=(("atr_exact", "atr"),)
+    ),
     "splits": Table(SPLITS, date_column="execution_date", grain="bucket"),
     "options": Table(
         OPTIONS, ("underlying_symbol", "window_start"), "window_start", "day", "append"

@@ -8,7 +8,7 @@ from the table itself. Appending adds to the current version. One writer per tab
 Tables by ticker are partitioned by a hash bucket of the ticker. Replacing some tickers writes
 their buckets only, into a new version whose marker names the folders that make it up: the
 new ones and those of earlier versions that stay. No file moves, and readers of the version
-before go on with it.
+before go on with it. Replacing rows from a year on leaves the folders of earlier years.
 
 Bars as landed are partitioned by ``source`` (the file's date) and by ``trade_date``. Writing
 a source again replaces the whole source: the new rows are written aside and then take the
@@ -25,6 +25,7 @@ would make one small file per ticker and load.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from functools import reduce
 
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as bar_ops
+from barloom.plans.sizing import broadcast_if_small
 from barloom.schemas import TABLES, Table, conform, ticker_bucket
 from barloom.session import use_utc
 
@@ -100,13 +102,19 @@ class Warehouse:
         old, kept = marked[: -max(1, keep)], marked[-max(1, keep) :]
         needed = {f for name in kept for f in self.folders(table, name)}
         for name in [n for n in self._names(f"{self.root}/{table}") if n.startswith("v") and n < min(kept, default="")]:
-            inner = [f for f in needed if f == name or f.startswith(f"{name}/")]
-            gone = [name] if not inner else [] if name in inner else [f"{name}/{n}" for n in self._names(f"{self.root}/{table}/{name}") if f"{name}/{n}" not in inner]
-            for folder in (f"_versions/{name}", *gone):
+            for folder in (f"_versions/{name}", *self._unneeded(table, name, needed)):
                 path, fs = self._path(f"{self.root}/{table}/{folder}")
                 fs.delete(path, True)
         return old
 
+    def _unneeded(self, table: str, folder: str, needed: set[str]) -> list[str]:
+        """The topmost folders at or below ``folder`` that hold none of the needed ones."""
+        if folder in needed:
+            return []
+        if not any(f.startswith(f"{folder}/") for f in needed):
+            return [folder]
+        return [g for n in self._names(f"{self.root}/{table}/{folder}") for g in self._unneeded(table, f"{folder}/{n}", needed)]
+
     def sources(self, table: str) -> list[str]:
         """Names of the sources that a landed table holds: a few per date."""
         current = self._current(table)
@@ -163,9 +171,10 @@ class Warehouse:
                 stored = stored.filter(_bound(spec, bound, is_start))
         return stored.select(*spec.schema.names)
 
-    def _stored(self, table: str) -> DataFrame:
+    def _stored(self, table: str, folders: list[str] | None = None) -> DataFrame:
+        """All stored columns of the current version, or of some of its folders."""
         schema, versions = TABLES[table].stored_schema, {}
-        for folder in self.folders(table):
+        for folder in self.folders(table) if folders is None else folders:
             versions.setdefault(folder.split("/")[0], []).append(f"{self.root}/{table}/{folder}")
         if not versions:
             return self.spark.createDataFrame([], schema)
@@ -243,21 +252,65 @@ class Warehouse:
         if not touched:
             return []
         held = self._stored(table).filter(F.col("ticker_bucket").isin(touched))
-        kept = held.filter(~F.coalesce(F.col("ticker").isin(tickers), F.lit(False))).select(*TABLES[table].schema.names)
-        rows = kept.unionByName(conform(new.filter(F.col("ticker").isin(tickers)), TABLES[table].schema))
-        stay = [f for folder in self.folders(table) for f in self._bucket_folders(table, folder) if int(f.rsplit("=", 1)[1]) not in touched]
-        target = self._next(table)
         spec = TABLES[table]
-        _laid_out(rows, spec).write.option("compression", "zstd").partitionBy(*spec.partition_columns).parquet(target)
-        name = target.rsplit("/", 1)[1]
-        self._publish(table, target, [*stay, *self._bucket_folders(table, name)] or None)
+        kept = held.filter(~F.coalesce(F.col("ticker").isin(tickers), F.lit(False)))
+        rows = spec.rows(kept).unionByName(spec.rows(new.filter(F.col("ticker").isin(tickers))))
+        stay = [f for folder in self.folders(table) for f in self._inner(table, folder, 1) if _bucket(f) not in touched]
+        self._add_version(rows, table, stay)
         return touched
 
-    def _bucket_folders(self, table: str, folder: str) -> list[str]:
-        """A folder of a version as its buckets' folders."""
-        if "/" in folder:
+    def replace_since(self, new: DataFrame, table: str, since: DataFrame) -> dict[str, int]:
+        """Replace the rows of each ticker in ``since`` from the year of its date ``since`` on.
+
+        ``since`` has each ticker once; ``new`` has the rows that take the place. Folders of other buckets and
+        of earlier years are neither read nor written: the new version names them. Returns how many folders
+        were written and how many stay.
+        """
+        spec = TABLES[table]
+        if spec.grain != "year":
+            raise ValueError(f"{table} is not laid out by ticker and year")
+        begin = F.trunc("since", "year")
+        lows = since.groupBy(ticker_bucket(F.col("ticker")).alias("b")).agg(F.min(begin).alias("low"))
+        low = {r.b: r.low.isoformat() for r in lows.collect()}  # at most BUCKETS rows
+        stay, touched = [], []
+        for folder in self.folders(table):
+            for bucket in self._inner(table, folder, 1):
+                if _bucket(bucket) not in low:
+                    stay.append(bucket)
+                    continue
+                for leaf in self._inner(table, bucket, 2):
+                    year = leaf.rsplit("trade_year=", 1)[1]
+                    (touched if year[:1].isdigit() and year >= low[_bucket(bucket)] else stay).append(leaf)
+        marked = broadcast_if_small(since.select(F.col("ticker").alias("_ticker"), begin.alias("_since")))
+        gone = F.col("ticker").eqNullSafe(F.col("_ticker")) & (F.col("trade_year") >= F.col("_since"))
+        rows = spec.rows(self._stored(table, touched).join(marked, gone, "left_anti")).unionByName(spec.rows(new))
+        written = self._add_version(rows, table, stay)
+        return {"folders_written": len(written), "folders_kept": len([f for s in stay for f in self._inner(table, s, 2)])}
+
+    def _add_version(self, rows: DataFrame, table: str, stay: list[str]) -> list[str]:
+        """Write ``rows`` as a version that also names the folders that stay; the folders written."""
+        target, spec = self._next(table), TABLES[table]
+        _laid_out(rows, spec).write.option("compression", "zstd").partitionBy(*spec.partition_columns).parquet(target)
+        written = self._inner(table, target.rsplit("/", 1)[1], 1)
+        self._publish(table, target, [*stay, *written] or None)
+        return [f for w in written for f in self._inner(table, w, len(spec.partition_columns))]
+
+    def _inner(self, table: str, folder: str, depth: int) -> list[str]:
+        """A folder of a version as its folders of ``depth`` partition columns (itself if it is one already)."""
+        if folder.count("/") >= depth:
             return [folder]
-        return [f"{folder}/{n}" for n in self._names(f"{self.root}/{table}/{folder}") if n.startswith("ticker_bucket=")]
+        names = [n for n in self._names(f"{self.root}/{table}/{folder}") if "=" in n]
+        return [f for n in names for f in self._inner(table, f"{folder}/{n}", depth)]
+
+    def years(self, table: str) -> list[int]:
+        """Years that a table by ticker and year holds, in order, from its folders' names."""
+        leaves = [f for folder in self.folders(table) for f in self._inner(table, folder, 2)]
+        found = (re.search(r"trade_year=([0-9]+)", f) for f in leaves)
+        return sorted({int(m.group(1)) for m in found if m})
+
+
+def _bucket(folder: str) -> int:
+    return int(re.search(r"ticker_bucket=([0-9]+)", folder).group(1))
 
 
 def _bound(spec: Table, bound: dt.date | dt.datetime, is_start: bool) -> Column:
@@ -302,7 +355,7 @@ def _laid_out(df: DataFrame, spec: Table) -> DataFrame:
         landed = df.withColumn(SOURCE, source).withColumn("trade_date", F.trunc(date, "month") if direct else date)
         rows = conform(landed, spec.stored_schema)
     else:
-        rows = rows.withColumn("ticker_bucket", ticker_bucket(F.col("ticker")))
+        rows = spec.rows(df).withColumn("ticker_bucket", ticker_bucket(F.col("ticker")))
         if spec.grain == "year":
             rows = rows.withColumn("trade_year", F.trunc(date, "year"))
     columns = spec.partition_columns

@@ -428,6 +428,8 @@ join (select ticker, window_start, {_sma('close', 20)} as s20, {_sma('close', 50
   {_sma('volume', 20)} as v20 from stored_adjusted) a on a.ticker=r.ticker and a.window_start=r.window_start""",
     "stored_adjusted",
 )
+ORACLES["refresh_adjusted"] = ORACLES["rebuild_adjusted"]
+ORACLES["refresh_technical"] = ORACLES["rebuild_technical"]
 _add(
     "scan_technical_range",
     f"""select ticker, {_WHEN}, {_stored2('s', 'sma_20')} from (

@@ -17,6 +17,7 @@ from barloom.functions.symbols import option_underlying
 from barloom.functions.times import file_date, iso_to_ts, ms_to_ts, ns_to_ts, ns_to_ts_micros
 from barloom.jobs import rebuild
 from barloom.jobs.ingest import ingest_missing, load_dates, rejected_rows
+from barloom.jobs.refresh import refresh
 from barloom.jobs.update import Feeds, daily_update, fill_gaps, verify
 from barloom.operators import bars as bar_ops
 from barloom.operators import calendar, checks, options, splits, technical, tickers, validate
@@ -558,6 +559,31 @@ def rebuild_technical(fx: Fixtures) -> DataFrame:
     return found.select("ticker", stamp("window_start"), *[r2(c) for c in names], r2("volume_sma_20"))
 
 
+def _refreshed(fx: Fixtures) -> Warehouse:
+    """Tables built while bars of the last year and one ticker's splits were missing, then refreshed."""
+    wh, late = _warehouse(fx), F.col("window_start") >= F.lit("1998-03-01").cast("timestamp")
+    rows = materialize(_bars(fx), "bars")
+    wh.write(rows.filter(~late), "stocks_raw", "append")
+    rebuild.sync_splits(wh, fx.splits_raw().filter("ticker <> 'TKB'"))
+    refresh(wh)
+    wh.write(rows.filter(late), "stocks_raw", "append")
+    rebuild.sync_splits(wh, fx.splits_raw())
+    refresh(wh)
+    return wh
+
+
+@query
+def refresh_adjusted(fx: Fixtures) -> DataFrame:
+    return _shown_bars(_doubles(_refreshed(fx).scan("stocks_adjusted")), r4)
+
+
+@query
+def refresh_technical(fx: Fixtures) -> DataFrame:
+    names = ("sma_20", "sma_50", "sma_200", "atr")
+    found = _refreshed(fx).scan("stocks_technical").withColumns({c: F.col(c).cast("double") for c in names})
+    return found.select("ticker", stamp("window_start"), *[r2(c) for c in names], r2("volume_sma_20"))
+
+
 @query
 def scan_technical_range(fx: Fixtures) -> DataFrame:
     wh = _built(fx)
