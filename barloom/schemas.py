@@ -100,6 +100,8 @@ class Table:
     default_mode: str = "overwrite"
     # Columns kept in double precision beside the schema's, for jobs that go on from them: name -> source.
     exact: tuple[tuple[str, str], ...] = ()
+    # Columns that scans look up by equality: their files hold Bloom filters.
+    lookups: tuple[str, ...] = ()
 
     @property
     def partition_columns(self) -> tuple[str, ...]:
@@ -124,16 +126,18 @@ class Table:
 
 
 TABLES: dict[str, Table] = {
-    "stocks_raw": Table(STOCK_BARS, ("ticker", "window_start"), "window_start", "day", "append"),
+    "stocks_raw": Table(
+        STOCK_BARS, ("ticker", "window_start"), "window_start", "day", "append", lookups=("ticker",)
+    ),
     "stocks_adjusted": Table(
-        STOCK_BARS, ("ticker", "window_start"), "window_start", "year", "append"
+        STOCK_BARS, ("ticker", "window_start"), "window_start", "year", "append", lookups=("ticker",)
     ),
     "stocks_technical": Table(
-        TECHNICAL, ("ticker", "window_start"), "window_start", "year", exact=(("atr_exact", "atr"),)
+        TECHNICAL, ("ticker", "window_start"), "window_start", "year", exact=(("atr_exact", "atr"),), lookups=("ticker",)
     ),
     "splits": Table(SPLITS, date_column="execution_date", grain="bucket"),
     "options": Table(
-        OPTIONS, ("underlying_symbol", "window_start"), "window_start", "day", "append"
+        OPTIONS, ("underlying_symbol", "window_start"), "window_start", "day", "append", lookups=("ticker", "underlying_symbol")
     ),
     "tickers": Table(TICKERS),
 }

@@ -19,7 +19,9 @@ writer by one rebalancing shuffle on the partition columns: large days and month
 into several files, small ones share a task, and the input is computed once (range
 partitioning would run it a second time to sample it). Files are sorted by their keys, so a
 single ticker is found by row-group, dictionary and page statistics; partitioning by ticker
-would make one small file per ticker and load.
+would make one small file per ticker and load. Columns that scans look up by equality have Bloom
+filters, as large as their distinct values need: where there are too many for a dictionary, as of
+option contracts, and they are not the sort key, row groups without the value are skipped by these.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import re
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as bar_ops
@@ -39,6 +41,8 @@ from barloom.session import use_utc
 
 SOURCE = "source"
 DIRECT = "direct"
+#: Sizes of a Bloom filter to choose from, each half of the one before, from 1 MB on.
+FILTER_SIZES = 11
 
 
 class Warehouse:
@@ -227,7 +231,7 @@ class Warehouse:
         current = self._current(table)
         own = current is not None and self.folders(table) == [current.rsplit("/", 1)[1]]
         target = current if own and mode != "overwrite" else self._next(table)
-        writer = _laid_out(df, spec).write.option("compression", "zstd")
+        writer = _writer(df, spec)
         if spec.partition_columns:
             writer = writer.partitionBy(*spec.partition_columns)
         if mode == "replace" and target == current:
@@ -290,7 +294,7 @@ class Warehouse:
     def _add_version(self, rows: DataFrame, table: str, stay: list[str]) -> list[str]:
         """Write ``rows`` as a version that also names the folders that stay; the folders written."""
         target, spec = self._next(table), TABLES[table]
-        _laid_out(rows, spec).write.option("compression", "zstd").partitionBy(*spec.partition_columns).parquet(target)
+        _writer(rows, spec).partitionBy(*spec.partition_columns).parquet(target)
         written = self._inner(table, target.rsplit("/", 1)[1], 1)
         self._publish(table, target, [*stay, *written] or None)
         return [f for w in written for f in self._inner(table, w, len(spec.partition_columns))]
@@ -343,6 +347,15 @@ def _instant(moment: dt.date | dt.datetime) -> Column:
     return F.lit(moment.isoformat()).cast("timestamp")
 
 
+def _writer(df: DataFrame, spec: Table) -> DataFrameWriter:
+    """A writer of the table's files."""
+    writer = _laid_out(df, spec).write.option("compression", "zstd")
+    for name in spec.lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer = writer.option(f"parquet.bloom.filter.candidates.number#{name}", FILTER_SIZES)
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true") if spec.lookups else writer
+
+
 def _laid_out(df: DataFrame, spec: Table) -> DataFrame:
     """Conformed rows with partition columns, distributed and sorted for writing."""
     rows = conform(df, spec.schema)

@@ -376,6 +376,13 @@ _add(
   {_STORED4}, transactions from options""",
     "options",
 )
+for _name, _column in (("scan_contract", "ticker"), ("scan_underlying", "underlying_symbol")):
+    _add(
+        _name,
+        f"""select ticker, underlying_symbol, {_WHEN}, volume, {_STORED4} from options
+where {_column}=(select min({_column}) from options)""",
+        "options",
+    )
 _add(
     "options_ingest_rejects",
     """select 'symbol' as reject, count(*) as row_count from options_raw

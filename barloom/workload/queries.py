@@ -490,6 +490,26 @@ def options_ingest(fx: Fixtures) -> DataFrame:
     )
 
 
+def _found_options(fx: Fixtures, column: str) -> DataFrame:
+    """Option bars looked up by the smallest value of a column."""
+    wh, root = _warehouse(fx), _land(fx, fx.options_raw(), "landing")
+    ingest_missing(wh, "options", root)
+    wanted = wh.scan("options").agg(F.min(column)).first()[0]
+    return _doubles(wh.scan("options", **{column: wanted})).select(
+        "ticker", "underlying_symbol", stamp("window_start"), "volume", *[r4(p) for p in PRICES],
+    )
+
+
+@query
+def scan_contract(fx: Fixtures) -> DataFrame:
+    return _found_options(fx, "ticker")
+
+
+@query
+def scan_underlying(fx: Fixtures) -> DataFrame:
+    return _found_options(fx, "underlying_symbol")
+
+
 @query
 def options_ingest_rejects(fx: Fixtures) -> DataFrame:
     wh, root = _warehouse(fx), _land(fx, fx.options_raw(), "landing")
