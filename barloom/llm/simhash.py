@@ -124,8 +124,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = materialize(prints.where("own_id is not null"), "prints")
     named = classes_of(prints.groupBy("fp").agg(F.min("own_id").alias("first_id"))).select("fp", "component")
     rows = materialize(prints.groupBy("own_id", "k1", "k2", "fp").count().join(named, "fp"), "rows")
-    winners = rows.groupBy("component").agg(F.min(F.struct("own_id", "k1", "k2")).alias("stays"))
-    judged = rows.join(winners, "component").select("own_id", "k1", "k2", "count", (F.struct("own_id", "k1", "k2") == F.col("stays")).alias("kept"))
+    winners = rows.groupBy("component").agg(F.min(F.struct("own_id", "k1", "k2")).alias("stays")).select("component", "stays.*", F.lit(True).alias("kept"))
+    # By the whole row, so that a large component does not meet in one task.
+    judged = rows.join(winners, ["component", "own_id", "k1", "k2"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
     touched = materialize(judged.where("not kept or count > 1").select("own_id", "k1", "k2", "kept").toDF(*by, "kept_row"), "touched")
     whole = keyed.join(touched.select(*by), by, "left_anti")
     repeated = keyed.join(touched.where("kept_row").select(*by), by, "left_semi").dropDuplicates(by)
