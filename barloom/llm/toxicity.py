@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,6 +39,9 @@ SKETCH, EQUAL = 16, 5
 STEMS = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.7
 ROW = 128
+#: Tokens that one step of a scan or of training works on, a multiple of ``ROW``: training runs on the
+#: driver, which has no room for temporary arrays over all tokens.
+BLOCK = 512 * ROW
 CACHE = 400_000
 EDGES = b".,;:!?\"'()[]{}<>|#*$%&-_~`"
 # Kinds of features: the word, its beginnings and its end, and what it tells the words beside it.
@@ -67,6 +71,15 @@ def features(word: bytes) -> tuple[int, ...]:
 def scan(odds: np.ndarray, begins: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Normalised forward messages (n x 2). ``odds``: exp of the score of state 1; ``begins`` marks
     the first token of a text; start: 2 weights; step: 2 x 2 weights, from state to state."""
+    out = np.empty((len(odds), 2))
+    state = 1.0, 0.0
+    for at in range(0, len(odds), BLOCK):
+        out[at : at + BLOCK], state = scan_block(odds[at : at + BLOCK], begins[at : at + BLOCK], start, step, state)
+    return out
+
+
+def scan_block(odds: np.ndarray, begins: np.ndarray, start: np.ndarray, step: np.ndarray, state: tuple[float, float]) -> tuple[np.ndarray, tuple[float, float]]:
+    """The messages of some tokens and the one after them, from the one before them (``state``)."""
     n = len(odds)
     rows = -(-n // ROW)
     size = rows * ROW
@@ -83,13 +96,14 @@ def scan(odds: np.ndarray, begins: np.ndarray, start: np.ndarray, step: np.ndarr
         a, b, c, d = a * m00 + b * m10, a * m01 + b * m11, c * m00 + d * m10, c * m01 + d * m11
         total = a + b + c + d
         a, b, c, d = a / total, b / total, c / total, d / total
-    x, y = 1.0, 0.0
+    x, y = state
     left, right = np.empty(rows), np.empty(rows)
     for k, (p, q, r, s) in enumerate(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist())):
         left[k], right[k] = x, y
         x, y = x * p + y * r, x * q + y * s
         total = x + y
         x, y = x / total, y / total
+    state = x, y
     out = np.empty((2, ROW, rows))
     x, y = left, right
     for k in range(ROW):
@@ -98,7 +112,7 @@ def scan(odds: np.ndarray, begins: np.ndarray, start: np.ndarray, step: np.ndarr
         total = x + y
         x, y = x / total, y / total
         out[0, k], out[1, k] = x, y
-    return out.transpose(2, 1, 0).reshape(size, 2)[:n]
+    return out.transpose(2, 1, 0).reshape(size, 2)[:n], state
 
 
 def marginals(scores: np.ndarray, begins: np.ndarray, start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,17 +124,26 @@ def marginals(scores: np.ndarray, begins: np.ndarray, start: np.ndarray, step: n
     forward = scan(odds, begins, start, step)
     # Backward messages are forward ones of the reversed texts, without the token's own odds.
     ends = np.append(begins[1:], True)
-    after = np.ones((len(odds), 2))
-    own = np.stack([np.ones(len(odds)), odds], 1)
     reversed_ = scan(odds[::-1], ends[::-1], np.ones(2), step.T)[::-1]
-    follow = np.flatnonzero(~ends)
-    after[follow] = reversed_[follow + 1] @ step.T
-    after /= after.sum(1, keepdims=True)
-    both = forward * after
-    p = both[:, 1] / both.sum(1)
-    pairs = forward[follow][:, :, None] * step[None] * (own[follow + 1] * after[follow + 1])[:, None, :]
-    pairs /= pairs.sum((1, 2), keepdims=True)
-    return p, pairs.sum(0)
+    p, seen = np.empty(len(odds)), np.zeros((1, 2, 2))
+    for at in range(0, len(odds), BLOCK):
+        # The block's tokens, and for the transitions the one after them.
+        now = slice(at, at + BLOCK)
+        after = np.ones((len(odds[now]), 2))
+        follow = np.flatnonzero(~ends[now])
+        after[follow] = reversed_[at + follow + 1] @ step.T
+        after /= after.sum(1, keepdims=True)
+        both = forward[now] * after
+        p[now] = both[:, 1] / both.sum(1)
+        then = at + follow + 1
+        beyond = reversed_[np.minimum(then + 1, len(odds) - 1)] @ step.T
+        beyond[ends[then]] = 1
+        beyond /= beyond.sum(1, keepdims=True)
+        beyond[:, 1] *= odds[then]
+        pairs = forward[now][follow][:, :, None] * step[None] * beyond[:, None, :]
+        pairs /= pairs.sum((1, 2), keepdims=True)
+        seen = np.concatenate([seen, pairs]).sum(0, keepdims=True)
+    return p, seen[0]
 
 
 def without_copies(texts: list[list[bytes]]) -> list[int]:
@@ -145,16 +168,22 @@ def units(word: bytes) -> list[bytes]:
     return [w, *(w[:n] + b"^" for n in STEMS if len(w) > n)]
 
 
+def held_units(text: list[bytes]) -> set[bytes]:
+    return {u for w in set(text) for u in units(w)}
+
+
 def marking_units(texts: list[list[bytes]], labels: np.ndarray) -> set[bytes]:
     """Units that mark toxic tokens."""
-    held = [{u for w in set(t) for u in units(w)} for t in texts]
-    toxic = [h for h, label in zip(held, labels) if label]
-    in_toxic = Counter(u for h in toxic for u in h)
-    in_clean = Counter(u for h, label in zip(held, labels) if not label for u in h)
+    toxic = [t for t, label in zip(texts, labels) if label]
+    in_toxic = Counter(u for t in toxic for u in held_units(t))
+    in_toxic = Counter({u: n for u, n in in_toxic.items() if n >= SUPPORT})
+    # Units of few toxic documents mark nothing, however many other documents hold them.
+    in_clean = Counter(u for t, label in zip(texts, labels) if not label for u in held_units(t) if u in in_toxic)
     clean = len(texts) - len(toxic)
-    likely = {u for u, n in in_toxic.items() if n >= SUPPORT and n / len(toxic) >= RATIO * (in_clean[u] + 1) / (clean + 1)}
+    likely = {u for u, n in in_toxic.items() if n / len(toxic) >= RATIO * (in_clean[u] + 1) / (clean + 1)}
     chosen = {u for u in likely if not u.endswith(b"^") or in_toxic[u] >= FREQUENT * len(toxic)}
-    left = [h & likely for h in toxic if h.isdisjoint(chosen)]
+    held = (held_units(t) & likely for t in toxic)
+    left = [h for h in held if h.isdisjoint(chosen)]
     while left:
         gains = Counter(u for h in left for u in h)
         # The first in order of gain, then of rarity in clean documents, then of the unit itself.
@@ -225,16 +254,24 @@ class Field:
         begins = np.zeros(lengths.sum(), bool)
         begins[np.cumsum(lengths) - lengths] = True
         ends = np.append(begins[1:], True)
-        held = {w: features(w) for w in {w for t, _ in kept for w in t}}
-        own = np.array([held[w] for t, _ in kept for w in t], np.int32)
-        marked = {w for w in held if not marking.isdisjoint(units(w))}
-        truth = np.array([float(label and w in marked) for t, label in kept for w in t])
-        # Outside a text there is no neighbour: a bucket beyond the others, never trained.
-        before = np.where(begins, BUCKETS, np.append(BUCKETS, own[:-1, OWNED]))
-        after = np.where(ends, BUCKETS, np.append(own[1:, OWNED + 1], BUCKETS))
-        used = np.column_stack([own[:, :OWNED], before, after])
-        places, used = np.unique(used, return_inverse=True)
-        used = used.reshape(len(own), OWNED + 2)
+        number: dict[bytes, int] = {}
+        at = np.fromiter((number.setdefault(w, len(number)) for t, _ in kept for w in t), np.int32)
+        own = np.fromiter(chain.from_iterable(map(features, number)), np.int32).reshape(len(number), OWNED + 2)
+        marked = np.fromiter((not marking.isdisjoint(units(w)) for w in number), bool)
+        truth = (marked[at] & np.repeat([bool(label) for _, label in kept], lengths)).astype(float)
+        # Features of a token: its own ones and what its neighbours give it. Outside a text there is no
+        # neighbour: a bucket beyond the others, never trained.
+        used = own[at]
+        used[:, OWNED] = np.where(begins, BUCKETS, np.append(BUCKETS, own[at[:-1], OWNED]))
+        used[:, OWNED + 1] = np.where(ends, BUCKETS, np.append(own[at[1:], OWNED + 1], BUCKETS))
+        is_used = np.zeros(BUCKETS + 1, bool)
+        blocks = [slice(k, k + BLOCK) for k in range(0, len(at), BLOCK)]
+        for block in blocks:
+            is_used[used[block]] = True
+        places = np.flatnonzero(is_used)
+        place = (np.cumsum(is_used) - 1).astype(np.int32)
+        for block in blocks:
+            used[block] = place[used[block]]
         w = np.zeros(len(places))
         outside = places == BUCKETS
         now, then = truth[1:][~begins[1:]].astype(int), truth[:-1][~begins[1:]].astype(int)
@@ -245,10 +282,13 @@ class Field:
         squares = [np.full_like(x, 1e-8) for x in state]
         n = len(truth)
         for _ in range(ROUNDS):
-            scores = state[0][used].sum(1) + state[1]
+            scores = np.concatenate([state[0][used[block]].sum(1) for block in blocks]) + state[1]
             p, pairs = marginals(scores, begins, np.exp(state[2]), np.exp(state[3]))
             miss = truth - p
-            slope = np.bincount(used.ravel(), np.repeat(miss, OWNED + 2), len(places)) - DECAY * n * state[0]
+            slope = np.zeros(len(places))
+            for block in blocks:
+                np.add.at(slope, used[block].ravel(), np.repeat(miss[block], OWNED + 2))
+            slope -= DECAY * n * state[0]
             slope[outside] = 0
             lost = firsts.sum() - p[begins].sum()
             for x, g, s in zip(state, (slope, np.array([miss.sum()]), np.array([-lost, lost]), seen - pairs), squares):
@@ -259,14 +299,16 @@ class Field:
         # Documents that the chain has not seen as clean calibrate the score.
         seen_clean = set(clean)
         rest = [k for k in range(len(texts)) if labels[k] or k not in seen_clean]
+        del at, own, used, truth, number
         self.calibrate([texts[k] for k in rest], labels[rest])
+        self.known.clear()
         return self
 
     def calibrate(self, texts: list[list[bytes]], labels: np.ndarray) -> None:
         """Logistic regression of the label on ``evidence``, by Newton's method with a small ridge."""
         if not 0 < labels.sum() < len(labels):
             return
-        p, ends = self.tag(texts)
+        p, ends = self.tag(texts, cache=BLOCK // 4)
         x = np.column_stack([np.ones(len(texts)), evidence(p, ends)])
         y, w = labels.astype(float), np.zeros(4)
         for _ in range(30):
@@ -278,12 +320,12 @@ class Field:
         w = self.calibration
         return 1 / (1 + np.exp(-np.clip(w[0] + evidence(p, ends) @ w[1:], -30, 30)))
 
-    def token_scores(self, text: list[bytes]) -> tuple[list[float], list[float], list[float]]:
+    def token_scores(self, text: list[bytes], cache: int = CACHE) -> tuple[list[float], list[float], list[float]]:
         """Own score, score given to the next word, score given to the word before."""
         known = self.known
         out = list(map(known.get, text))
         if None in out:
-            if len(known) > CACHE:
+            if len(known) > cache:
                 known.clear()
             for k, held in enumerate(out):
                 if held is None:
@@ -294,13 +336,13 @@ class Field:
                     out[k] = held
         return out
 
-    def tag(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    def tag(self, texts: list[list[bytes]], cache: int = CACHE) -> tuple[np.ndarray, np.ndarray]:
         """Marginals of all tokens in order, and where each text's tokens end."""
         ends = np.cumsum([len(t) for t in texts])
         flat = [w for t in texts for w in t]
         if not flat:
             return np.zeros(0), ends
-        own = np.array(self.token_scores(flat))
+        own = np.concatenate([np.array(self.token_scores(flat[k : k + BLOCK], cache)) for k in range(0, len(flat), BLOCK)])
         begins = np.zeros(len(flat) + 1, bool)
         begins[ends - [len(t) for t in texts]] = True
         begins = begins[:-1]
@@ -342,7 +384,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> li
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     rows = sample(docs, labels, id_col, text_col)
-    return Field().fit([words(t) for _, t, _ in rows], np.array([k for _, _, k in rows]))
+    once: dict[bytes, bytes] = {}  # a word of many texts is held once
+    texts = [[once.setdefault(w, w) for w in words(t)] for _, t, _ in rows]
+    return Field().fit(texts, np.array([k for _, _, k in rows]))
 
 
 def score(docs: DataFrame, field: Field, keep: list[str], text_col: str = "text", with_spans: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -115,6 +116,32 @@ def toxic_corpus(spark, n=900):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), rows, marks
 
 
+def test_training_holds_little_beside_the_words():
+    draw = random.Random(5)
+    texts = [[b"w%d" % draw.randrange(20000) for _ in range(200)] for _ in range(600)]
+    labels = np.arange(600) % 3 == 0
+    for k in np.flatnonzero(labels):
+        texts[k][draw.randrange(200)] = b"vile"
+    tracemalloc.start()
+    field = toxicity.Field().fit(texts, labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert field.weights[toxicity.bucket(toxicity.OWN, b"vile")] > 0
+    assert most < 40 << 20  # for 120,000 words; all units of all texts and all features at once took 54 MB
+
+
+def test_blocks_of_tokens_change_no_marginal(monkeypatch):
+    draw = np.random.default_rng(4)
+    n = 5 * toxicity.ROW + 17
+    scores, begins = draw.normal(0, 3, n), draw.random(n) < 0.1
+    begins[[0, -1]] = True
+    start, step = np.exp(draw.normal(size=2)), np.exp(draw.normal(size=(2, 2)))
+    whole = toxicity.marginals(scores, begins, start, step)
+    monkeypatch.setattr(toxicity, "BLOCK", toxicity.ROW)
+    for a, b in zip(whole, toxicity.marginals(scores, begins, start, step)):
+        assert np.array_equal(a, b)
+
+
 def test_toxic_spans_and_held_out_labels(spark):
     docs, marks, rows, truth = toxic_corpus(spark)
     got = toxicity.detect(docs, marks, with_spans=True).collect()
