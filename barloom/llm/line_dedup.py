@@ -13,10 +13,11 @@ A block may be common to a large share of all lines, so its list does not make p
 1. every line of a list is compared with the list's first one;
 2. in lists whose lines are then still in different groups, those outside the largest group, if they
    are few (``CROWDED``), are compared with the lines of other groups;
-3. if they are many, the lines of the list are posted again under their rarest words there. Lines
-   within e edits lack at most e of each other's words, so among the e + 1 rarest words of each there
-   is a common one: no pair is lost, and what a page template has in common brings nothing together.
-   Steps 1 and 2 follow for these lists, step 2 for any number.
+3. if they are many, the lines of the list are posted again under their rarest words there. Of two
+   similar lines the longer, of n words, lacks at most n / 5 of the other's, and that one fewer by the
+   difference in length; so a common word stands among so many and one more of the rarest of each: no
+   pair is lost, and what a page template has in common brings nothing together. Steps 1 and 2 follow
+   for these lists, step 2 for any number, of pairs with a word at such a rank in both.
 """
 
 from __future__ import annotations
@@ -34,11 +35,15 @@ SIMILARITY = 0.8
 BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
 #: Lines outside a list's largest group that are compared with all of the list, at most.
 CROWDED = 64
+#: Words that stand in more than one of so many lines of a crowded list are ordered list by list, others by counts.
+COMMON = 8
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
-BETWEEN = rf"[ {MARKS}]{{2,}}|[{MARKS}]"
+BETWEEN = rf"[{MARKS}][ {MARKS}]*| [ {MARKS}]+"
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
+#: For a side of few columns with one row a key: the other, of postings or texts, is not sorted then.
+HASHED = "shuffle_hash"
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -66,22 +71,21 @@ def majority(a: Column, b: Column, c: Column) -> Column:
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: its number (that of its first occurrence), k1, k2, the first
-    occurrence, how often it occurs, and of lines of ``MIN_WORDS`` words or more size and blocks."""
-    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos", "at")).alias("first"), F.count("*").alias("times"))
-    firsts = firsts.select(F.col("first.at").alias("line"), "k1", "k2", "first.doc", "first.pos", "times")
-    return firsts.join(simhashes(lines), ["k1", "k2"], "left").select("line", "k1", "k2", "doc", "pos", "times", "size", "blocks")
-
-
-def simhashes(lines: DataFrame) -> DataFrame:
-    """(k1, k2, size, blocks): number of words and SimHash of the distinct lines of ``MIN_WORDS`` words or more."""
-    words = lines.select("k1", "k2", F.posexplode(F.split("norm", " ")).alias("nth", "word"))
+    """One row per distinct line: its number (the smallest of its occurrences), k1, k2, how often it
+    occurs, and of lines of ``MIN_WORDS`` words or more the size (number of words) and the SimHash."""
+    words = lines.select("at", "k1", "k2", F.posexplode(F.split("norm", " ")).alias("nth", "word"))
     orders = range(BLOCKS * FEATURES)
     words = words.select("*", *[F.xxhash64("word", F.lit(k)).alias(f"hash_{k}") for k in range(-(-len(orders) // 4))])
     # A line's words are in one task, so each line is one row before the shuffle; copies have equal values.
-    looked = words.groupBy("k1", "k2").agg((F.max("nth") + 1).alias("size"), *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders])
-    blocks = [majority(*[F.col(f"first_{FEATURES * k + j}") for j in range(FEATURES)]) for k in range(BLOCKS)]
-    return looked.where(F.col("size") >= MIN_WORDS).select("k1", "k2", "size", F.array(*blocks).alias("blocks"))
+    looked = words.groupBy("k1", "k2").agg(
+        F.min("at").alias("line"),
+        F.count(F.when(F.col("nth") == 0, 1)).alias("times"),
+        (F.max("nth") + 1).alias("size"),
+        *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders],
+    )
+    blocks = F.array(*[majority(*[F.col(f"first_{FEATURES * k + j}") for j in range(FEATURES)]) for k in range(BLOCKS)])
+    compared = F.col("size") >= MIN_WORDS
+    return looked.select("line", "k1", "k2", "times", F.when(compared, F.col("size")).alias("size"), F.when(compared, blocks).alias("blocks"))
 
 
 def posted(unique: DataFrame) -> DataFrame:
@@ -113,7 +117,7 @@ def fits(a: str, b: str) -> Column:
 def shared(postings: DataFrame) -> DataFrame:
     """(key, line, size, members, head): the postings of lists with two lines or more."""
     lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head")).where("members > 1")
-    return materialize(postings.join(materialize(lists, "lists"), "key"), "shared")
+    return materialize(postings.join(materialize(lists, "lists").hint(HASHED), "key"), "shared")
 
 
 def with_heads(held: DataFrame, texts: DataFrame) -> DataFrame:
@@ -121,67 +125,97 @@ def with_heads(held: DataFrame, texts: DataFrame) -> DataFrame:
     return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b")), texts)
 
 
-def mixed(held: DataFrame, links: DataFrame) -> DataFrame:
+def grown(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(line, component): the groups with new links (a, b). Only what these join is looked at again:
+    each group is one node, so earlier links are not gone over."""
+    if groups is None:
+        return materialize(connected_components(links, "a", "b").select(F.col("node").alias("line"), "component"), "groups")
+    ends = links.select(F.col("a").alias("line")).union(links.select("b")).distinct().join(groups, "line", "left_anti")
+    groups = groups.union(ends.select("line", F.col("line").alias("component")))
+    of = lambda end: groups.select(F.col("line").alias(end), F.col("component").alias(f"group_{end}"))
+    joined = connected_components(links.join(of("a"), "a").join(of("b"), "b"), "group_a", "group_b").toDF("component", "into")
+    return materialize(groups.join(joined, "component", "left").select("line", F.coalesce("into", "component").alias("component")), "groups")
+
+
+def mixed(held: DataFrame, groups: DataFrame) -> DataFrame:
     """Lines of lists that hold different groups: their ``component``, the list's ``largest`` and the
     number of ``strays`` outside it. Lists of two are done."""
-    found = connected_components(links, "a", "b").select(F.col("node").alias("line"), "component")
-    grouped = held.where("members > 2").join(found, "line", "left").withColumn("component", F.coalesce("component", "line"))
-    grouped = materialize(grouped.select("key", "line", "size", "members", "component"), "grouped")
+    grouped = held.where("members > 2").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
+    grouped = materialize(grouped, "grouped")
     sizes = grouped.groupBy("key", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"))
     several = largest.select("key", F.col("most.component").alias("largest"), (F.col("all") - F.col("most.n")).alias("strays")).where("strays > 0")
     return materialize(grouped.drop("members").join(several, "key"), "mixed")
 
 
-def across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of lines of one list and different groups."""
-    a = left.select("key", F.col("line").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("group_a"))
-    b = right.select("key", F.col("line").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("group_b"))
-    pairs = a.join(b, "key").where((F.col("group_a") != F.col("group_b")) & fits("size_a", "size_b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def rarest(crowd: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, line, size): lines of crowded lists, posted under their rarest words in the list."""
-    words = crowd.select("key", "line", "size").join(texts.select("line", F.array_distinct(F.split("spelled", "")).alias("words")), "line")
-    held = materialize(words.select("key", "line", "size", F.explode("words").alias("word")), "words")
-    counts = held.groupBy("key", "word").agg(F.count("*").alias("n"))
-    order = F.sort_array(F.collect_list(F.struct("n", "word")))  # at most a line's words
-    ordered = held.join(counts, ["key", "word"]).groupBy("key", "line", "size").agg(order.alias("words"))
-    # A line similar to one of this size is at most a quarter longer.
-    first = F.slice("words", F.lit(1), F.call_function("div", F.col("size"), F.lit(4)).cast("int") + 1)
-    return ordered.select(F.explode(first).alias("held"), "key", "line", "size").select(F.xxhash64("key", "held.word").alias("key"), "line", "size")
-
-
-def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
-    """(a, b): links between distinct lines that connect all that similar lines on a common block do."""
+def across(open_: DataFrame) -> DataFrame:
+    """Pairs of lines of one list and different groups, one of them a stray at least; two strays once.
+    Where the list is that of a word, its rank has to be one that the sizes allow in both."""
+    ranked = ["rank"] if "rank" in open_.columns else []
+    named = lambda end: ["key", *[F.col(c).alias(f"{c}_{end}") for c in ("line", "size", "component", *ranked)]]
+    a = open_.where("component != largest").select(*named("a"))
+    b = open_.select(*named("b"), (F.col("component") == F.col("largest")).alias("settled"))
+    wanted = (F.col("component_a") != F.col("component_b")) & fits("size_a", "size_b") & (F.col("settled") | (F.col("line_a") < F.col("line_b")))
+    if ranked:
+        longer = F.greatest("size_a", "size_b")
+        for end in "ab":  # words that the line may lack
+            wanted &= F.col(f"rank_{end}") <= F.call_function("div", longer, F.lit(5)) - (longer - F.col(f"size_{end}"))
+    return a.join(b, "key").where(wanted).select(F.least("line_a", "line_b").alias("a"), F.greatest("line_a", "line_b").alias("b"))
+
+
+def rarest(crowd: DataFrame) -> DataFrame:
+    """(key, line, size, rank): lines of crowded lists (key, line, size, spelled), posted under their rarest words in the list."""
+    held = crowd.select("key", "line", "size", F.array_distinct(F.split("spelled", "")).alias("words"))
+    counts = materialize(held.select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("n")), "counts")
+    # At most ``COMMON`` times a line's words; they come last in each line's order and need no row of their own.
+    often = counts.join(held.groupBy("key").agg(F.count("*").alias("all")), "key").where(F.col("n") * COMMON > F.col("all"))
+    often = often.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("often"))
+    split = held.join(often.select("key", F.col("often.word").alias("often")), "key", "left").withColumn("often", F.coalesce("often", F.array().cast("array<string>")))
+    places = F.call_function("div", F.col("size"), F.lit(5)).cast("int") + 1
+    last = F.slice(F.array_intersect("often", "words"), F.lit(1), places)
+    split = materialize(split.select("key", "line", "size", F.array_except("words", "often").alias("seldom"), last.alias("last")), "split")
+    words = split.select("key", "line", F.explode("seldom").alias("word")).join(counts, ["key", "word"])
+    first = words.groupBy("key", "line").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("first"))  # at most a line's words
+    ordered = split.join(first, ["key", "line"], "left").select("key", "line", "size", F.concat(F.coalesce(F.col("first.word"), F.array().cast("array<string>")), "last").alias("words"))
+    posted = ordered.select("key", "line", "size", F.posexplode(F.slice("words", F.lit(1), places)).alias("rank", "word"))
+    return posted.select(F.xxhash64("key", "word").alias("key"), "line", "size", "rank")
+
+
+def groups_of(unique: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line, component): the groups of two distinct lines or more that similar lines on a common
+    block make; the component is the smallest line."""
     held = shared(posted(unique))
     # The texts of lines that share a list; no other text moves again.
-    named = lines.select(F.col("at").alias("line"), "norm").join(held.select("line").distinct(), "line", "left_semi")
+    named = lines.select(F.col("at").alias("line"), "norm").join(held.select("line").distinct().hint(HASHED), "line", "left_semi")
     texts = materialize(named.select("line", spelled(F.col("norm")).alias("spelled")), "texts")
-    found = materialize(with_heads(held, texts), "links")
-    open_ = mixed(held, found)
+    groups = grown(None, with_heads(held, texts))
+    open_ = mixed(held, groups)
     few, crowd = open_.where(F.col("strays") <= CROWDED), open_.where(F.col("strays") > CROWDED)
-    found = materialize(found.union(verified(across(few.where("component != largest"), few), texts)), "links")
+    groups = grown(groups, materialize(verified(across(few), texts), "links"))
     if crowd.isEmpty():
-        return found
-    held = shared(rarest(crowd, texts))
-    found = materialize(found.union(with_heads(held, texts)), "links")
-    open_ = mixed(held, found)
-    return materialize(found.union(verified(across(open_.where("component != largest"), open_), texts)), "links")
+        return groups
+    crowd = materialize(texts.join(crowd.select("key", "line", "size"), "line"), "crowd")
+    texts = crowd.select("line", "spelled").distinct()
+    held = shared(materialize(rarest(crowd), "rarest"))
+    groups = grown(groups, materialize(with_heads(held, texts), "links"))
+    return grown(groups, materialize(verified(across(mixed(held, groups)), texts), "links"))
+
+
+def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, b): links between distinct lines that connect all that similar lines on a common block do."""
+    return groups_of(unique, lines).select(F.col("component").alias("a"), F.col("line").alias("b")).where("a != b")
 
 
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
     lines = materialize(lines, "lines", "zstd")  # texts are normalised once
     unique = materialize(distinct_lines(lines), "distinct", "zstd")
-    groups = connected_components(links(unique, lines), "a", "b").select(F.col("node").alias("line"), "component")
-    classes = unique.join(groups, "line", "left").withColumn("component", F.coalesce("component", "line"))
-    classes = materialize(classes.select("k1", "k2", "doc", "pos", "times", "component"), "classes")
-    kept = classes.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"), F.sum("times").alias("all_times")).where("all_times > 1")
-    losing = classes.join(kept, "component").select("k1", "k2", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
-    same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("pos") == F.col("kept_pos"))
-    return lines.select("doc", "pos", "k1", "k2").join(losing, ["k1", "k2"]).where(~same).select("doc", "pos", "kept_doc", "kept_pos")
+    classes = unique.select("line", "k1", "k2", "times").join(groups_of(unique, lines).hint(HASHED), "line", "left")
+    classes = classes.where("times > 1 or component is not null").select("k1", "k2", F.coalesce("component", "line").alias("component"))
+    repeats = materialize(lines.select("doc", "pos", "k1", "k2").join(classes.hint(HASHED), ["k1", "k2"]).select("doc", "pos", "component"), "repeats")
+    kept = repeats.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"))
+    placed = repeats.join(kept, "component").select("doc", "pos", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
+    return placed.where(~(F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("pos") == F.col("kept_pos"))))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
@@ -201,7 +235,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged = docs.withColumn(flag, F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(FLAGS)))
     whole = flagged.join(flags, flag, "left_anti").drop(flag).withColumn(at, F.lit(None).cast("array<int>"))
     some = flagged.join(flags, flag, "left_semi").drop(flag)
-    some = some.join(gone, some[id_col].eqNullSafe(gone[doc]), "left").drop(doc)
+    # Shuffled at every size, as it has to be where ``gone`` is large.
+    some = some.join(gone.hint(HASHED), some[id_col].eqNullSafe(gone[doc]), "left").drop(doc)
     both = whole.unionByName(some)
     text = F.col(f"`{text_col}`")
     left = F.filter(F.split(text, "\n"), lambda line, pos: ~F.array_contains(at, pos))
