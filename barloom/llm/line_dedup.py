@@ -35,8 +35,6 @@ SIMILARITY = 0.8
 BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
 #: Lines outside a list's largest group that are compared with all of the list, at most.
 CROWDED = 64
-#: Words that stand in more than one of so many lines of a crowded list are ordered list by list, others by counts.
-COMMON = 8
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
 BETWEEN = rf"[{MARKS}][ {MARKS}]*| [ {MARKS}]+"
@@ -166,14 +164,13 @@ def across(open_: DataFrame) -> DataFrame:
 def rarest(crowd: DataFrame) -> DataFrame:
     """(key, line, size, rank): lines of crowded lists (key, line, size, spelled), posted under their rarest words in the list."""
     held = crowd.select("key", "line", "size", F.array_distinct(F.split("spelled", "")).alias("words"))
-    counts = materialize(held.select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("n")), "counts")
-    # At most ``COMMON`` times a line's words; they come last in each line's order and need no row of their own.
-    often = counts.join(held.groupBy("key").agg(F.count("*").alias("all")), "key").where(F.col("n") * COMMON > F.col("all"))
-    often = often.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("often"))
-    split = held.join(often.select("key", F.col("often.word").alias("often")), "key", "left").withColumn("often", F.coalesce("often", F.array().cast("array<string>")))
+    # Any order of a list's words will do: those of its first line, and so what a template has, come last and need no count.
+    often = materialize(held.groupBy("key").agg(F.sort_array(F.min_by("words", "line")).alias("often")), "often")
     places = F.call_function("div", F.col("size"), F.lit(5)).cast("int") + 1
     last = F.slice(F.array_intersect("often", "words"), F.lit(1), places)
-    split = materialize(split.select("key", "line", "size", F.array_except("words", "often").alias("seldom"), last.alias("last")), "split")
+    split = held.join(often, "key").select("key", "line", "size", F.array_except("words", "often").alias("seldom"), last.alias("last"))
+    split = materialize(split, "split")
+    counts = split.select("key", F.explode("seldom").alias("word")).groupBy("key", "word").agg(F.count("*").alias("n"))
     words = split.select("key", "line", F.explode("seldom").alias("word")).join(counts, ["key", "word"])
     first = words.groupBy("key", "line").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("first"))  # at most a line's words
     ordered = split.join(first, ["key", "line"], "left").select("key", "line", "size", F.concat(F.coalesce(F.col("first.word"), F.array().cast("array<string>")), "last").alias("words"))
@@ -213,8 +210,9 @@ def removed_lines(lines: DataFrame) -> DataFrame:
     classes = unique.select("line", "k1", "k2", "times").join(groups_of(unique, lines).hint(HASHED), "line", "left")
     classes = classes.where("times > 1 or component is not null").select("k1", "k2", F.coalesce("component", "line").alias("component"))
     repeats = materialize(lines.select("doc", "pos", "k1", "k2").join(classes.hint(HASHED), ["k1", "k2"]).select("doc", "pos", "component"), "repeats")
-    kept = repeats.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept"))
-    placed = repeats.join(kept, "component").select("doc", "pos", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
+    # Written, so that the planner can split a component with many lines.
+    kept = materialize(repeats.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("kept")), "kept")
+    placed = repeats.join(kept.hint(HASHED), "component").select("doc", "pos", F.col("kept.doc").alias("kept_doc"), F.col("kept.pos").alias("kept_pos"))
     return placed.where(~(F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("pos") == F.col("kept_pos"))))
 
 

@@ -224,6 +224,22 @@ def test_a_template_makes_no_pairs(spark, monkeypatch):
     assert sum(compared) < 6 * len(rows)
 
 
+def test_strays_of_a_list_meet_once_and_at_ranks_that_allow_it(spark):
+    """Two of the largest group (1 and 2) and strays; a line of 20 words may lack four, one of 18 then two."""
+    rows = [(1, 20, 1, 0), (2, 20, 1, 5), (3, 18, 3, 2), (4, 18, 4, 3), (5, 20, 5, 4), (6, 30, 6, 0)]
+    frame = spark.createDataFrame([(7, *r[:3], 1, 4, r[3]) for r in rows], "key long, line long, size int, component long, largest long, strays long, rank int")
+    pairs = lambda df: sorted(tuple(r) for r in line_dedup.across(df).collect())
+    assert pairs(frame.drop("rank")) == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (3, 5), (4, 5)]
+    assert pairs(frame) == [(1, 3), (1, 5), (3, 4), (3, 5)]
+
+
+def test_new_links_join_groups(spark):
+    groups = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (5, 2), (3, 3), (6, 3)], "line long, component long")
+    links = spark.createDataFrame([(4, 5), (7, 9), (6, 9)], "a long, b long")
+    got = {tuple(r) for r in line_dedup.grown(groups, links).collect()}
+    assert got == {(1, 1), (4, 1), (2, 1), (5, 1), (3, 3), (6, 3), (7, 3), (9, 3)}
+
+
 def test_line_dedup_of_odd_rows(odd_docs, no_docs, odd_rows):
     got = line_dedup.dedup_lines(odd_docs)
     assert got.columns == odd_docs.columns
