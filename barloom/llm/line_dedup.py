@@ -37,7 +37,11 @@ BLOCKS, FEATURES, LONG_WORD = 4, 3, 5
 CROWDED = 64
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
-BETWEEN = rf"[{MARKS}][ {MARKS}]*| [ {MARKS}]+"
+#: Words with single spaces between them, and what then separates them from the next: whole words are
+#: passed over at once, and a match begins where the last one ended, so that none is tried twice.
+APART = rf"\G([^ {MARKS}]*+(?: [^ {MARKS}]++)*+)[ {MARKS}]++"
+#: Texts hardly repeat: no dictionary, and the compression that takes the least time.
+WRITTEN = {"parquet.enable.dictionary": "false", "parquet.compression.codec.zstd.level": "1"}
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
 #: For a side of few columns with one row a key: the other, of postings or texts, is not sorted then.
@@ -50,7 +54,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Whole texts are normalised below the generator, so that no later step makes the planner do it again.
     """
-    bare = F.regexp_replace(F.lower(F.col(f"`{text_col}`")), BETWEEN, " ")
+    bare = F.regexp_replace(F.lower(F.col(f"`{text_col}`")), APART, "$1 ")
     lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(bare, "\n")).alias("pos", "line"))
     norm = lines.select("doc", "pos", F.trim("line").alias("norm")).where(F.length("norm") > 0)
     return norm.select(F.monotonically_increasing_id().alias("at"), "doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
@@ -100,14 +104,18 @@ def spelled(norm: Column) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of line numbers whose lines have the edit similarity. ``texts``: line, spelled."""
+    """The pairs (a, b) of line numbers whose lines have the edit similarity. ``texts``: line, spelled.
+    If the pairs have b's ``size``, pairs of sizes that do not fit go no further than a's text."""
     left = texts.select(F.col("line").alias("a"), F.col("spelled").alias("na"))
     right = texts.select(F.col("line").alias("b"), F.col("spelled").alias("nb"))
     most = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(length(na), length(nb)) + 1e-9D) as int)"
-    return pairs.distinct().join(left, "a").join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
+    halves = pairs.distinct().join(left, "a")
+    if "size" in pairs.columns:
+        halves = halves.where(fits(F.length("na"), "size"))
+    return halves.join(right, "b").where(f"levenshtein(na, nb, {most}) >= 0").select("a", "b")
 
 
-def fits(a: str, b: str) -> Column:
+def fits(a: Column | str, b: Column | str) -> Column:
     """Sizes that the similarity allows."""
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
@@ -120,7 +128,7 @@ def shared(postings: DataFrame) -> DataFrame:
 
 def with_heads(held: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between the lines of lists and their first ones."""
-    return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b")), texts)
+    return verified(held.where("head != line").select(F.col("head").alias("a"), F.col("line").alias("b"), "size"), texts)
 
 
 def grown(groups: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -188,13 +196,13 @@ def groups_of(unique: DataFrame, lines: DataFrame) -> DataFrame:
     groups = grown(None, with_heads(held, texts))
     open_ = mixed(held, groups)
     few, crowd = open_.where(F.col("strays") <= CROWDED), open_.where(F.col("strays") > CROWDED)
-    groups = grown(groups, materialize(verified(across(few), texts), "links"))
+    near = verified(across(few), texts)
     if crowd.isEmpty():
-        return groups
+        return grown(groups, materialize(near, "links"))
     crowd = materialize(texts.join(crowd.select("key", "line", "size"), "line"), "crowd")
     texts = crowd.select("line", "spelled").distinct()
     held = shared(materialize(rarest(crowd), "rarest"))
-    groups = grown(groups, materialize(with_heads(held, texts), "links"))
+    groups = grown(groups, materialize(near.union(with_heads(held, texts)), "links"))
     return grown(groups, materialize(verified(across(mixed(held, groups)), texts), "links"))
 
 
@@ -205,7 +213,7 @@ def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
 
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
-    lines = materialize(lines, "lines", "zstd")  # texts are normalised once
+    lines = materialize(lines, "lines", "zstd", **WRITTEN)  # texts are normalised once
     unique = materialize(distinct_lines(lines), "distinct", "zstd")
     classes = unique.select("line", "k1", "k2", "times").join(groups_of(unique, lines).hint(HASHED), "line", "left")
     classes = classes.where("times > 1 or component is not null").select("k1", "k2", F.coalesce("component", "line").alias("component"))

@@ -32,8 +32,8 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared work folder and read it back, cutting its lineage."""
+def materialize(df: DataFrame, label: str, compression: str | None = None, **options: str) -> DataFrame:
+    """Write ``df``, with the writer's ``options``, to the shared work folder and read it back, cutting its lineage."""
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from barloom.llm import line_dedup, neighbours, simhash
+from barloom.llm import components, line_dedup, neighbours, simhash
 from barloom.llm.components import connected_components
 
 
@@ -38,6 +38,23 @@ def test_components(spark):
     assert connected_components(edges.limit(0), "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("few", [components.FEW, 0])
+def test_few_edges_are_not_shuffled_in_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
+    plans = []
+    plain = components.materialize
+
+    def watched(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return plain(frame, label)
+
+    monkeypatch.setattr(components, "materialize", watched)
+    links = [(k, k + 1) for k in range(40)] + [(50, k) for k in range(51, 60)] + [(60, 59)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == groups({n for link in links for n in link}, links)
+    assert len(plans) > 2 and any("Exchange hash" in p for p in plans[1:]) == (few == 0)
+
+
 def plain_print(text, size):
     words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
     runs = [b" ".join(words[k : k + size]) for k in range(len(words) - size + 1)] or ([b" ".join(words)] if words else [])
@@ -233,6 +250,26 @@ def test_strays_of_a_list_meet_once_and_at_ranks_that_allow_it(spark):
     assert pairs(frame) == [(1, 3), (1, 5), (3, 4), (3, 5)]
 
 
+def test_words_are_one_space_apart(spark):
+    """Also in a long text without marks and in runs of all kinds; whole words are passed over at once."""
+    random.seed(5)
+    texts = ["".join(random.choices("ab éZ  .,;()\t\r\n", k=random.randint(0, 30))) for _ in range(2000)]
+    texts += ["word " * 20_000, " ", "", ".", "a", " a", "a ", "a  b", "a ,", ", a", "漢 字. 🙂  x"]
+    rows = list(enumerate(texts))
+    got = {(r.doc, r.pos): r.norm for r in line_dedup.lines_of(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()}
+    lines = {(i, pos): plain_norm(line) for i, text in rows for pos, line in enumerate(text.split("\n"))}
+    assert got == {place: norm for place, norm in lines.items() if norm}
+
+
+def test_pairs_of_heads_whose_sizes_do_not_fit_meet_one_text_only(spark):
+    """Line 1 has ten words; of its list, only line 2 has a size that fits, and its text as well."""
+    texts = spark.createDataFrame([(1, "abcdefghij"), (2, "abcdefghix"), (3, "abcde"), (4, "abcdefghijklmno")], "line long, spelled string")
+    held = spark.createDataFrame([(7, k, size, 4, 1) for k, size in ((1, 10), (2, 10), (3, 5), (4, 15))], "key long, line long, size int, members long, head long")
+    links = line_dedup.with_heads(held, texts)
+    assert [tuple(r) for r in links.collect()] == [(1, 2)]
+    assert "size" in links._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_new_links_join_groups(spark):
     groups = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (5, 2), (3, 3), (6, 3)], "line long, component long")
     links = spark.createDataFrame([(4, 5), (7, 9), (6, 9)], "a long, b long")
