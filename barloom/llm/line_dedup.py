@@ -22,7 +22,7 @@ A block may be common to a large share of all lines, so its list does not make p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import free_names
@@ -38,9 +38,10 @@ CROWDED = 64
 #: What separates words besides single spaces: other white space, these marks, several spaces.
 MARKS = r"""\t\r\f\x0B.,;:!?"'()"""
 #: Words with single spaces between them, and what then separates them from the next: whole words are
-#: passed over at once, and a match begins where the last one ended, so that none is tried twice.
-APART = rf"\G([^ {MARKS}]*+(?: [^ {MARKS}]++)*+)[ {MARKS}]++"
-#: Texts hardly repeat: no dictionary, and the compression that takes the least time.
+#: passed over at once, and a match begins where the last one ended, so that none is tried twice. (Java
+#: takes plain runs of a class faster than possessive ones; they cannot give back here.)
+APART = rf"\G([^ {MARKS}]*(?: [^ {MARKS}]+)*+)[ {MARKS}]+"
+#: Texts and hashes hardly repeat: no dictionary, and the compression that takes the least time.
 WRITTEN = {"parquet.enable.dictionary": "false", "parquet.compression.codec.zstd.level": "1"}
 #: Flags that keep what cannot match out of a shuffle.
 FLAGS = 1 << 18
@@ -52,11 +53,12 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(at, doc, pos, norm, k1, k2): the lines that hold a word, numbered, as words in lower case with
     single spaces between them; k1 and k2 are 128 bits of hash of norm.
 
-    Whole texts are normalised below the generator, so that no later step makes the planner do it again.
+    Lines are lowered one by one, as those of ASCII alone, which most are, take much less. What has no
+    word is told from the line as it stands, so that the planner does not normalise it twice.
     """
-    bare = F.regexp_replace(F.lower(F.col(f"`{text_col}`")), APART, "$1 ")
-    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(bare, "\n")).alias("pos", "line"))
-    norm = lines.select("doc", "pos", F.trim("line").alias("norm")).where(F.length("norm") > 0)
+    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("pos", "line"))
+    held = lines.where(F.col("line").rlike(f"[^ {MARKS}]"))
+    norm = held.select("doc", "pos", F.trim(F.regexp_replace(F.lower("line"), APART, "$1 ")).alias("norm"))
     return norm.select(F.monotonically_increasing_id().alias("at"), "doc", "pos", "norm", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(7), "norm").alias("k2"))
 
 
@@ -75,14 +77,19 @@ def majority(a: Column, b: Column, c: Column) -> Column:
 def distinct_lines(lines: DataFrame) -> DataFrame:
     """One row per distinct line: its number (the smallest of its occurrences), k1, k2, how often it
     occurs, and of lines of ``MIN_WORDS`` words or more the size (number of words) and the SimHash."""
-    words = lines.select("at", "k1", "k2", F.posexplode(F.split("norm", " ")).alias("nth", "word"))
+    split = lines.select("at", "k1", "k2", F.length("norm").alias("chars"), F.split("norm", " ").alias("words"))
+    # Outer, or the planner splits again to see whether there are words.
+    words = split.select("at", "k1", "k2", "chars", F.size("words").alias("size"), F.posexplode_outer("words").alias("nth", "word"))
+    # Long words come first in every order, so the others matter only where there may be no long one.
+    short = F.col("chars") < LONG_WORD * F.col("size")
+    words = words.where((F.col("nth") == 0) | (F.length("word") >= LONG_WORD) | short)
     orders = range(BLOCKS * FEATURES)
     words = words.select("*", *[F.xxhash64("word", F.lit(k)).alias(f"hash_{k}") for k in range(-(-len(orders) // 4))])
     # A line's words are in one task, so each line is one row before the shuffle; copies have equal values.
     looked = words.groupBy("k1", "k2").agg(
         F.min("at").alias("line"),
         F.count(F.when(F.col("nth") == 0, 1)).alias("times"),
-        (F.max("nth") + 1).alias("size"),
+        F.max("size").alias("size"),
         *[F.min(turned("word", k)).alias(f"first_{k}") for k in orders],
     )
     blocks = F.array(*[majority(*[F.col(f"first_{FEATURES * k + j}") for j in range(FEATURES)]) for k in range(BLOCKS)])
@@ -121,8 +128,11 @@ def fits(a: Column | str, b: Column | str) -> Column:
 
 
 def shared(postings: DataFrame) -> DataFrame:
-    """(key, line, size, members, head): the postings of lists with two lines or more."""
-    lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head")).where("members > 1")
+    """(key, line, size, members, head): the postings of lists with two lines or more; of just two, if
+    their sizes fit."""
+    sizes = F.min("size").alias("least"), F.max("size").alias("most")
+    lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("line").alias("head"), *sizes)
+    lists = lists.where((F.col("members") > 2) | (F.col("members") == 2) & fits("least", "most")).drop("least", "most")
     return materialize(postings.join(materialize(lists, "lists").hint(HASHED), "key"), "shared")
 
 
@@ -179,10 +189,12 @@ def rarest(crowd: DataFrame) -> DataFrame:
     split = held.join(often, "key").select("key", "line", "size", F.array_except("words", "often").alias("seldom"), last.alias("last"))
     split = materialize(split, "split")
     counts = split.select("key", F.explode("seldom").alias("word")).groupBy("key", "word").agg(F.count("*").alias("n"))
-    words = split.select("key", "line", F.explode("seldom").alias("word")).join(counts, ["key", "word"])
-    first = words.groupBy("key", "line").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("first"))  # at most a line's words
-    ordered = split.join(first, ["key", "line"], "left").select("key", "line", "size", F.concat(F.coalesce(F.col("first.word"), F.array().cast("array<string>")), "last").alias("words"))
-    posted = ordered.select("key", "line", "size", F.posexplode(F.slice("words", F.lit(1), places)).alias("rank", "word"))
+    words = split.select("key", "line", "size", F.explode("seldom").alias("word")).join(counts, ["key", "word"])
+    nth = F.row_number().over(Window.partitionBy("key", "line").orderBy("n", "word")) - 1  # among a line's words
+    first = words.select("key", "line", "size", nth.alias("rank"), "word").where(F.col("rank") < places)
+    left = split.where(F.size("seldom") < places).select("key", "line", "size", F.size("seldom").alias("before"), F.posexplode("last").alias("nth", "word"))
+    last = left.select("key", "line", "size", (F.col("before") + F.col("nth")).alias("rank"), "word").where(F.col("rank") < places)
+    posted = first.union(last)
     return posted.select(F.xxhash64("key", "word").alias("key"), "line", "size", "rank")
 
 
@@ -192,7 +204,7 @@ def groups_of(unique: DataFrame, lines: DataFrame) -> DataFrame:
     held = shared(posted(unique))
     # The texts of lines that share a list; no other text moves again.
     named = lines.select(F.col("at").alias("line"), "norm").join(held.select("line").distinct().hint(HASHED), "line", "left_semi")
-    texts = materialize(named.select("line", spelled(F.col("norm")).alias("spelled")), "texts")
+    texts = materialize(named.select("line", spelled(F.col("norm")).alias("spelled")), "texts", **WRITTEN)
     groups = grown(None, with_heads(held, texts))
     open_ = mixed(held, groups)
     few, crowd = open_.where(F.col("strays") <= CROWDED), open_.where(F.col("strays") > CROWDED)
@@ -214,7 +226,7 @@ def links(unique: DataFrame, lines: DataFrame) -> DataFrame:
 def removed_lines(lines: DataFrame) -> DataFrame:
     """(doc, pos, kept_doc, kept_pos): occurrences that go, and the one that stays for them."""
     lines = materialize(lines, "lines", "zstd", **WRITTEN)  # texts are normalised once
-    unique = materialize(distinct_lines(lines), "distinct", "zstd")
+    unique = materialize(distinct_lines(lines), "distinct", "zstd", **WRITTEN)
     classes = unique.select("line", "k1", "k2", "times").join(groups_of(unique, lines).hint(HASHED), "line", "left")
     classes = classes.where("times > 1 or component is not null").select("k1", "k2", F.coalesce("component", "line").alias("component"))
     repeats = materialize(lines.select("doc", "pos", "k1", "k2").join(classes.hint(HASHED), ["k1", "k2"]).select("doc", "pos", "component"), "repeats")

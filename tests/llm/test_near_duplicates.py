@@ -270,6 +270,46 @@ def test_pairs_of_heads_whose_sizes_do_not_fit_meet_one_text_only(spark):
     assert "size" in links._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lists_of_two_lines_whose_sizes_do_not_fit_are_dropped(spark):
+    """Of lists 1 (sizes 10 and 13), 2 (10 and 12), 3 (three lines) and 4 (one line)."""
+    rows = [(1, 1, 10), (1, 2, 13), (2, 1, 10), (2, 3, 12), (3, 1, 10), (3, 4, 30), (3, 5, 60), (4, 6, 9)]
+    got = {tuple(r) for r in line_dedup.shared(spark.createDataFrame(rows, "key long, line long, size int")).collect()}
+    assert got == {(2, 1, 10, 2, 1), (2, 3, 12, 2, 1), (3, 1, 10, 3, 1), (3, 4, 30, 3, 1), (3, 5, 60, 3, 1)}
+
+
+def test_blocks_look_at_long_words_alone_where_there_are_any(spark):
+    """Lines with a long word among many short ones, without one, and with long ones alone, some repeated."""
+    random.seed(11)
+    short, long_ = ["a", "bc", "déf", "ghij", "漢字"], ["klmno", "pqrstu", "vwxyzabc", "ééééé"]
+    texts = [" ".join(random.choices(short, k=random.randint(4, 30))) for _ in range(60)]
+    texts += [f"{t} {random.choice(long_)} {t}" for t in texts[:40]] + [" ".join(random.choices(long_, k=6)) for _ in range(20)]
+    texts += texts[::7]
+    lines = line_dedup.lines_of(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", "t").localCheckpoint()
+    norms = {r["at"]: r.norm for r in lines.collect()}
+    got = {norms[r.line]: (r.times, r["size"], r.blocks) for r in line_dedup.distinct_lines(lines).collect()}
+    assert got.keys() == set(texts)
+    for text, (times, size, blocks) in got.items():
+        n = len(text.split())
+        assert (times, size) == (texts.count(text), n if n >= line_dedup.MIN_WORDS else None)
+        counted = [w for w in text.split() if len(w) >= line_dedup.LONG_WORD] or text.split()
+        if size:
+            assert [b % (1 << 64) for b in blocks] == plain_blocks(counted)
+
+
+def test_words_of_crowded_lists_are_ranked_by_how_rare_they_are(spark):
+    """Line 1 comes first, so its words are last; of 10 words three places are posted, of five two."""
+    rows = [(7, 1, 10, "abcdefghij"), (7, 2, 10, "abcdefghxy"), (7, 3, 10, "abcdefgxzw"), (7, 4, 5, "abcde"), (7, 5, 5, "xabcd")]
+    got = line_dedup.rarest(spark.createDataFrame(rows, "key long, line long, size int, spelled string"))
+    wanted = {1: "abc", 2: "yxa", 3: "wzx", 4: "ab", 5: "xa"}  # y, z and w stand in one line each, x in three
+    words = spark.createDataFrame([(7, w) for w in "abcdefghijxyzw"], "key long, word string")
+    codes = {r.code: r.word for r in words.select(F.xxhash64("key", "word").alias("code"), "word").collect()}
+    ranks = {}
+    for r in got.collect():
+        ranks.setdefault(r.line, {})[r["rank"]] = codes[r["key"]]
+    assert {line: "".join(of[k] for k in sorted(of)) for line, of in ranks.items()} == wanted
+    assert all(sorted(of) == list(range(len(of))) for of in ranks.values())
+
+
 def test_new_links_join_groups(spark):
     groups = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (5, 2), (3, 3), (6, 3)], "line long, component long")
     links = spark.createDataFrame([(4, 5), (7, 9), (6, 9)], "a long, b long")
